@@ -96,7 +96,7 @@ def _grid_points_before_flip(start: float, stop: float, count: int) -> Column:
         return F.when(point >= 0, product <= score).otherwise(product > score) & (index < count)
 
     place = (score / F.nullif(point, F.lit(0.0)) - start) / step
-    bounded = F.least(F.greatest(F.floor(place), F.lit(0)), F.lit(count)).cast("int")
+    bounded = F.floor(F.least(F.greatest(place, F.lit(0.0)), F.lit(float(count)))).cast("int")
     first = F.greatest(bounded - 1, F.lit(0))
     near = first
     for ahead in range(4):

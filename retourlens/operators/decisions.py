@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retourlens.functions.scalar import flag, grid_point, linspace_df
+from retourlens.functions.scalar import flag, grid_point
 
 # Share of a price lost by a needless warning; cost of an
 # unannounced return as a weight on a base charge and a share of the price.
@@ -80,30 +80,32 @@ def error_cost(df: DataFrame) -> DataFrame:
     return df.withColumn("error_cost", value)
 
 
-def _grid_points_before_flip(start: float, stop: float, count: int) -> Column:
-    """How many leading grid multipliers share the first one's decision side.
+def _with_flip(df: DataFrame, start: float, stop: float, count: int) -> DataFrame:
+    """Add ``i``: how many leading grid multipliers share one decision.
 
     ``tau * m <= score`` flips once as ``m`` grows. Division gives the place
-    up to rounding, then the comparison itself settles it, so the count is
-    the one a test of every grid point would give. For a negative ``tau``
-    (a negative price) the decision starts at 0 and flips to 1.
+    up to rounding, then the comparison itself at the points around it settles
+    it, so ``i`` is what a test of every grid point would give. For a negative
+    ``tau`` (a negative price) the decision starts at 0 and flips to 1.
     """
     point, score = F.col("tau"), F.col("score")
     step = (stop - start) / (count - 1)
+    place = (score / F.nullif(point, F.lit(0.0)) - start) / step
+    floor = F.floor(F.least(F.greatest(place, F.lit(0.0)), F.lit(float(count)))).cast("int")
 
     def before(index: Column) -> Column:
         product = point * grid_point(index, start, stop, count)
-        return F.when(point >= 0, product <= score).otherwise(product > score) & (index < count)
+        reached = F.when(point >= 0, product <= score).otherwise(product > score)
+        return flag(reached & (index < count))
 
-    place = (score / F.nullif(point, F.lit(0.0)) - start) / step
-    bounded = F.floor(F.least(F.greatest(place, F.lit(0.0)), F.lit(float(count)))).cast("int")
-    first = F.greatest(bounded - 1, F.lit(0))
-    near = first
-    for ahead in range(4):
-        reached = before(first + ahead)
-        near = F.when(reached, F.greatest(near, first + ahead + 1)).otherwise(near)
+    first = F.col("__first")
+    near = sum((before(first + ahead) for ahead in range(4)), first)
     always = F.when(F.lit(0.0) <= score, F.lit(count)).otherwise(F.lit(0))
-    return F.when(point == 0, always).otherwise(near)
+    return (
+        df.withColumn("__first", F.greatest(floor - 1, F.lit(0)))
+        .withColumn("i", F.coalesce(F.when(point == 0, always).otherwise(near), F.lit(0)))
+        .drop("__first")
+    )
 
 
 def sweep(
@@ -116,19 +118,14 @@ def sweep(
     places give every grid point's sum.
     """
     value = METRICS[metric]
-    returned, price = F.col("returned"), F.col("item_price")
-    leading = F.when(F.col("tau") >= 0, 1).otherwise(0)
-    placed = with_tau(df).select(
-        F.coalesce(_grid_points_before_flip(start, stop, count), F.lit(0)).alias("i"),
-        F.when(F.col("score").isNull(), value(returned, F.lit(0), price))
-        .otherwise(value(returned, leading, price))
-        .alias("early"),
-        F.when(F.col("score").isNull(), value(returned, F.lit(0), price))
-        .otherwise(value(returned, 1 - leading, price))
-        .alias("late"),
+    returned, price, scored = F.col("returned"), F.col("item_price"), F.col("score").isNotNull()
+    early = F.when(scored & (F.col("tau") >= 0), 1).otherwise(0)
+    late = F.when(scored & (F.col("tau") < 0), 1).otherwise(0)
+    placed = _with_flip(with_tau(df), start, stop, count).select(
+        "i", value(returned, early, price).alias("early"), value(returned, late, price).alias("late")
     )
     sums = placed.groupBy("i").agg(F.sum("early").alias("early"), F.sum("late").alias("late"))
-    grid = linspace_df(df.sparkSession, start, stop, count + 1).select("i")
+    places = df.sparkSession.range(count + 1).select(F.col("id").cast("int").alias("i"))
     order = Window.partitionBy(F.lit(0)).orderBy("i")
     to_come = order.rowsBetween(1, Window.unboundedFollowing)
     passed = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -136,7 +133,7 @@ def sweep(
         F.sum("late").over(passed), F.lit(0.0)
     )
     return (
-        grid.join(sums, "i", "left")
+        places.join(sums, "i", "left")
         .select("i", F.round(total, digits).alias(metric))
         .where(F.col("i") < count)
         .select("i", grid_point(F.col("i"), start, stop, count).alias("m"), metric)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retourlens.functions.scalar import round_half_even
-from retourlens.operators.grouping import Form, Joined, Windowed, all_present, attach
+from retourlens.operators.grouping import Form, GroupStep, Joined, Windowed, all_present, attach
 
 # The rate of unsupported keys, and the MAD of a unit normal.
 PRIOR = 0.48
@@ -61,14 +61,19 @@ class TargetEncoder:
         found = attach(df, encodings, self.keys)
         return found.withColumn(self.output, self._finish(F.col(self.output)))
 
-    def fit_transform(self, df: DataFrame, form: Form = Joined()) -> DataFrame:
+    def step(self) -> GroupStep:
         """Fit on the rows that are not ``is_unknown``, encode all of them."""
-        if isinstance(form, Joined):
-            return self.transform(df, self.fit(form.rows(df).where(~F.col("is_unknown"))))
         label = F.when(~F.col("is_unknown"), F.col(self.label))
-        counted = form.values(df, self.keys, {"__n": F.count(label), "__r": F.sum(label)})
-        rate = self._finish(self._rate(F.col("__n"), F.col("__r")))
-        return counted.withColumn(self.output, rate).drop("__n", "__r")
+        support, returns = f"__{self.output}_n", f"__{self.output}_r"
+        rate = self._finish(self._rate(F.col(support), F.col(returns)))
+
+        def finish(df: DataFrame) -> DataFrame:
+            return df.withColumn(self.output, rate).drop(support, returns)
+
+        return GroupStep(self.keys, {support: F.count(label), returns: F.sum(label)}, finish)
+
+    def fit_transform(self, df: DataFrame, form: Form = Joined()) -> DataFrame:
+        return self.step().run(df, form)
 
 
 @dataclass(frozen=True)

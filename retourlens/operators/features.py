@@ -24,7 +24,7 @@ from retourlens.functions.scalar import (
     size_text,
 )
 from retourlens.operators.encoders import RobustScaler, TargetEncoder
-from retourlens.operators.grouping import Form, Joined
+from retourlens.operators.grouping import Form, GroupStep, Joined
 
 # Size ranges that tell item types apart, stand-ins for gaps.
 ITEM_TYPES = (1, 2, 3, 4, 5, 6, 7)
@@ -79,11 +79,18 @@ def rounded_price(df: DataFrame) -> DataFrame:
     return df.withColumn("item_price", round_half_even("item_price"))
 
 
-def is_discounted(df: DataFrame, form: Form = Joined()) -> DataFrame:
+def discount_step() -> GroupStep:
     """Item's mean price above the row's price; expects the rounded price."""
-    priced = form.values(df, ["item_id"], {"__mean": F.avg("item_price")})
-    below = flag(F.col("__mean") - F.col("item_price") > 0)
-    return priced.withColumn("is_discounted", below).drop("__mean")
+    below = flag(F.col("__mean_price") - F.col("item_price") > 0)
+
+    def finish(df: DataFrame) -> DataFrame:
+        return df.withColumn("is_discounted", below).drop("__mean_price")
+
+    return GroupStep(["item_id"], {"__mean_price": F.avg("item_price")}, finish)
+
+
+def is_discounted(df: DataFrame, form: Form = Joined()) -> DataFrame:
+    return discount_step().run(df, form)
 
 
 def orders_per_day(df: DataFrame, form: Form = Joined()) -> DataFrame:
@@ -104,13 +111,21 @@ def count_item_user(df: DataFrame, form: Form = Joined()) -> DataFrame:
     return form.values(df, ["user_id", "item_id"], {"count_item_user": F.count("*")})
 
 
-def customer_value(df: DataFrame, form: Form = Joined()) -> DataFrame:
+def customer_value_step() -> GroupStep:
     """Spend per user; expects the rounded price."""
-    return form.values(df, ["user_id"], {"customer_value": F.sum("item_price")})
+    return GroupStep(["user_id"], {"customer_value": F.sum("item_price")})
+
+
+def customer_value(df: DataFrame, form: Form = Joined()) -> DataFrame:
+    return customer_value_step().run(df, form)
+
+
+def count_user_step() -> GroupStep:
+    return GroupStep(["user_id"], {"count_user": F.count("*")})
 
 
 def count_user(df: DataFrame, form: Form = Joined()) -> DataFrame:
-    return form.values(df, ["user_id"], {"count_user": F.count("*")})
+    return count_user_step().run(df, form)
 
 
 def new_user(df: DataFrame) -> DataFrame:
@@ -121,7 +136,7 @@ def normalised_size_text(df: DataFrame) -> DataFrame:
     return df.withColumn("item_size", size_text("item_size"))
 
 
-def classify_items(df: DataFrame, form: Form = Joined()) -> DataFrame:
+def item_type_step() -> GroupStep:
     """``type`` 1-7 of each item from all its size texts; null sizes are ignored."""
     size = F.col("item_size")
     number = size.try_cast("double")
@@ -145,7 +160,15 @@ def classify_items(df: DataFrame, form: Form = Joined()) -> DataFrame:
         .when(F.col("__unsized"), 7)
         .otherwise(2)
     )
-    return form.values(df, ["item_id"], ranges).withColumn("type", kind).drop(*ranges)
+
+    def finish(df: DataFrame) -> DataFrame:
+        return df.withColumn("type", kind).drop(*ranges)
+
+    return GroupStep(["item_id"], ranges, finish)
+
+
+def classify_items(df: DataFrame, form: Form = Joined()) -> DataFrame:
+    return item_type_step().run(df, form)
 
 
 def type_dummies(df: DataFrame) -> DataFrame:

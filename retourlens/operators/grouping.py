@@ -10,7 +10,7 @@ picks the first for groups that are small enough and the second for the rest.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
 
@@ -93,6 +93,30 @@ class Joined:
 Form = Windowed | Joined
 
 
+@dataclass(frozen=True)
+class GroupStep:
+    """Aggregates of a row's group, and what to make of them."""
+
+    keys: Sequence[str]
+    values: dict[str, Column]
+    finish: Callable[[DataFrame], DataFrame] = field(default=lambda df: df)
+
+    def run(self, df: DataFrame, form: Form) -> DataFrame:
+        return run_steps(df, [self], form)
+
+
+def run_steps(df: DataFrame, steps: Sequence[GroupStep], form: Form) -> DataFrame:
+    """All steps; those with equal keys share one pass over their groups."""
+    by_keys: dict[tuple[str, ...], list[GroupStep]] = {}
+    for step in steps:
+        by_keys.setdefault(tuple(step.keys), []).append(step)
+    for keys, group in by_keys.items():
+        df = form.values(df, keys, {n: v for step in group for n, v in step.values.items()})
+        for step in group:
+            df = step.finish(df)
+    return df
+
+
 def hot_keys(df: DataFrame, key: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Keys with more rows than one task should hold; at most rows / max_rows."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))

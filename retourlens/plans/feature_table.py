@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from retourlens.operators import features as f
 from retourlens.operators import tables
-from retourlens.operators.grouping import MAX_GROUP_ROWS, Form, hot_keys, per_group
+from retourlens.operators.grouping import MAX_GROUP_ROWS, Form, hot_keys, per_group, run_steps
 from retourlens.session import settle_all
 
 IDS = ["order_item_id", "item_id", "brand_id", "user_id"]
@@ -37,9 +37,9 @@ def _per_user(support: f.Support):
 
     def build(df: DataFrame, form: Form) -> DataFrame:
         df = f.latest_order(df, form)
+        own = [f.customer_value_step(), f.count_user_step(), f.user_encoder(support).step()]
+        df = run_steps(df, own, form)
         df = f.orders_per_day(df, form)
-        df = f.count_user(f.customer_value(df, form), form)
-        df = f.user_encoder(support).fit_transform(df, form)
         df = f.ordered_item_recently(df, form)
         df = f.count_item_user(df, form)
         return f.multi_colour_per_day(df, form)
@@ -51,9 +51,8 @@ def _per_item(support: f.Support):
     """All values of an item's rows; colour and size text are corrected by now."""
 
     def build(df: DataFrame, form: Form) -> DataFrame:
-        df = f.is_discounted(df, form)
-        df = f.item_encoder(support).fit_transform(df, form)
-        df = f.classify_items(df, form)
+        own = [f.discount_step(), f.item_encoder(support).step(), f.item_type_step()]
+        df = run_steps(df, own, form)
         df = f.colour_encoder(support).fit_transform(df, form)
         df = f.size_encoder(support).fit_transform(df, form)
         return f.normalised_size(f.numeric_size(df), form.prepare(f.numeric_size))

@@ -17,10 +17,9 @@ _FROM_CUSTOMER = {"user_dob", "user_reg_date"}
 def _size() -> Column:
     line, kind = F.col("l_linenumber"), F.col("l_partkey") % 7
     plus = F.when(F.col("l_quantity").cast("int") % 2 == 1, F.lit("+")).otherwise(F.lit(""))
-    letters = F.array(*[F.lit(x) for x in LETTERS])
     return (
         F.when(kind == 0, F.concat((line + 36).cast("string"), plus))
-        .when(kind == 1, F.element_at(letters, line))
+        .when(kind == 1, F.elt(line, *[F.lit(x) for x in LETTERS]))
         .when(kind == 2, (line * 2).cast("string"))
         .when(kind == 3, (line * 32 + 3000).cast("string"))
         .when(kind == 4, (line * 6 + 86).cast("string"))
@@ -29,34 +28,48 @@ def _size() -> Column:
     )
 
 
-def _columns() -> dict[str, Column]:
+def _colour() -> Column:
+    return F.elt((F.col("l_suppkey") % 8 + 1).cast("int"), *[F.lit(x) for x in COLOURS])
+
+
+def _order_item_id() -> Column:
     # 100 ids are set aside per order, so a window over one order stays small.
     in_order = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         "l_shipdate", "l_quantity", "l_discount", "l_tax",
     )
-    colours = F.array(*[F.lit(x) for x in COLOURS])
-    unknown = F.col("l_orderkey") % 3 == 0
-    return {
-        "order_item_id": F.row_number().over(in_order) + F.col("l_orderkey") * 100,
-        "is_unknown": unknown,
-        "order_date": F.col("o_orderdate").cast("date"),
-        "delivery_date": F.when(F.col("l_tax") != 0, F.col("l_shipdate").cast("date")),
-        "item_id": F.col("l_partkey"),
-        "item_size": _size(),
-        "item_color": F.element_at(colours, (F.col("l_suppkey") % 8 + 1).cast("int")),
-        "brand_id": F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("")).cast("long"),
-        "item_price": F.col("l_extendedprice") / 1000,
-        "user_id": F.col("o_custkey"),
-        "user_dob": F.when(
-            F.col("c_custkey") % 11 != 0,
-            F.date_add(F.lit("1940-01-01").cast("date"), (F.col("c_custkey") * 37 % 18000).cast("int")),
-        ),
-        "user_reg_date": F.date_add(
-            F.lit("1994-06-01").cast("date"), (F.col("c_custkey") * 13 % 900).cast("int")
-        ),
-        "returned": F.when(~unknown, (F.col("l_returnflag") == "R").cast("int")),
-    }
+    return F.row_number().over(in_order) + F.col("l_orderkey") * 100
+
+
+def _unknown() -> Column:
+    return F.col("l_orderkey") % 3 == 0
+
+
+def _user_dob() -> Column:
+    days = (F.col("c_custkey") * 37 % 18000).cast("int")
+    return F.when(F.col("c_custkey") % 11 != 0, F.date_add(F.lit("1940-01-01").cast("date"), days))
+
+
+def _user_reg_date() -> Column:
+    days = (F.col("c_custkey") * 13 % 900).cast("int")
+    return F.date_add(F.lit("1994-06-01").cast("date"), days)
+
+
+_COLUMNS = {
+    "order_item_id": _order_item_id,
+    "is_unknown": _unknown,
+    "order_date": lambda: F.col("o_orderdate").cast("date"),
+    "delivery_date": lambda: F.when(F.col("l_tax") != 0, F.col("l_shipdate").cast("date")),
+    "item_id": lambda: F.col("l_partkey"),
+    "item_size": _size,
+    "item_color": _colour,
+    "brand_id": lambda: F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("")).cast("long"),
+    "item_price": lambda: F.col("l_extendedprice") / 1000,
+    "user_id": lambda: F.col("o_custkey"),
+    "user_dob": _user_dob,
+    "user_reg_date": _user_reg_date,
+    "returned": lambda: F.when(~_unknown(), (F.col("l_returnflag") == "R").cast("int")),
+}
 
 
 def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -65,8 +78,7 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     Every lineitem has its order, customer and part, so a table none of whose
     columns is asked for is not joined at all.
     """
-    available = _columns()
-    wanted = list(columns) or list(available)
+    wanted = list(columns) or list(_COLUMNS)
 
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -79,4 +91,4 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         rows = rows.join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
     if _FROM_PART.intersection(wanted):
         rows = rows.join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
-    return rows.select(*[available[c].alias(c) for c in wanted])
+    return rows.select(*[_COLUMNS[c]().alias(c) for c in wanted])

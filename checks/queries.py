@@ -16,7 +16,7 @@ from retourlens.plans.feature_table import (
     build_features,
     build_features_stacked,
 )
-from retourlens.session import scratch_path, settle
+from retourlens.session import scratch_path, settle, settle_all
 from retourlens.sources import orders
 from retourlens.sources.sales import sales
 
@@ -152,9 +152,10 @@ def _decided(spark, sf_dir) -> DataFrame:
 def _stand_in_scores(spark, sf_dir) -> DataFrame:
     """Brand, user and price rates of all rows, as three columns."""
     rows = _priced(spark, sf_dir, "brand_id", "user_id", "returned")
-    for make in (features.brand_encoder, features.user_encoder, features.price_encoder):
-        encoder = make()
-        rows = encoder.transform(rows, settle(_fit_on_known(spark, sf_dir, encoder), encoder.output))
+    encoders = [features.brand_encoder(), features.user_encoder(), features.price_encoder()]
+    fitted = settle_all({e.output: _fit_on_known(spark, sf_dir, e) for e in encoders})
+    for encoder in encoders:
+        rows = encoder.transform(rows, fitted[encoder.output])
     return rows
 
 

@@ -139,7 +139,7 @@ def normalised_size_text(df: DataFrame) -> DataFrame:
 def item_type_step() -> GroupStep:
     """``type`` 1-7 of each item from all its size texts; null sizes are ignored."""
     size = F.col("item_size")
-    number = size.try_cast("double")
+    number = F.when(is_digits(size), size.try_cast("double"))
     ranges = {
         "__half": F.bool_or(F.contains(size, F.lit(".5"))),
         "__digits": F.bool_and(is_digits(size)),

@@ -9,6 +9,15 @@ from pyspark.sql import functions as F
 COLOURS = ["blau", "brwon", "oliv", "blue", "brown", "olive", "black", "?"]
 LETTERS = ["XS", "s", "M", "l", "XL", "xxl", "XXXL"]
 
+# Declared, so that opening a table starts no job to infer its columns.
+_TABLES = {
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+    "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz",
+    "customer": "c_custkey long",
+    "part": "p_partkey long, p_brand string",
+}
 _FROM_ORDERS = {"order_date", "user_id"}
 _FROM_PART = {"brand_id"}
 _FROM_CUSTOMER = {"user_dob", "user_reg_date"}
@@ -81,7 +90,7 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     wanted = list(columns) or list(_COLUMNS)
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     rows = table("lineitem")
     needs_customer = bool(_FROM_CUSTOMER.intersection(wanted))

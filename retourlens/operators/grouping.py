@@ -17,6 +17,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from retourlens.session import settle
+
 MAX_GROUP_ROWS = 2_000_000
 
 
@@ -131,11 +133,15 @@ def per_group(
     source: DataFrame | None = None,
 ) -> DataFrame:
     """``build(rows, form)`` over all rows: joined for the ``hot`` keys, which
-    should be a settled table, windowed for the others. ``source`` is what the
-    joined form aggregates, ``df`` itself if not given."""
+    should be a settled table, windowed for the others.
+
+    ``source`` is what the joined form aggregates, ``df`` itself if not given.
+    Its hot rows are written out once, since every aggregate reads them anew.
+    """
     if hot.isEmpty():
         return build(df, Windowed())
-    source = df if source is None else source
+    rows = df if source is None else source
+    crowd = settle(rows.join(hot, key, "left_semi"), f"rows-of-hot-{key}")
     small = build(df.join(hot, key, "left_anti"), Windowed())
-    large = build(df.join(hot, key, "left_semi"), Joined(source.join(hot, key, "left_semi")))
+    large = build(crowd if source is None else df.join(hot, key, "left_semi"), Joined(crowd))
     return small.unionByName(large)

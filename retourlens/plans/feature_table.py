@@ -22,6 +22,7 @@ FEATURES = [
     "was_delivered", "latest_order", "ordered_item_recently",
     "membership_age_days", "time_to_delivery_days", "assumed_age",
 ]
+ITEM_INPUTS = ["item_id", "item_size", "item_color", "item_price", "is_unknown", LABEL]
 UNUSED = ["user_state", "user_title"]
 
 
@@ -82,10 +83,9 @@ def build_features_stacked(sales: DataFrame, config: FeatureConfig = FeatureConf
             "items": hot_keys(sales, "item_id", limit),
         }
     )
-    out = per_group(rows, "user_id", _per_user(support), ready["users"], rows)
-    out = per_group(
-        _corrected(out), "item_id", _per_item(support), ready["items"], _corrected(rows)
-    )
+    out = per_group(rows, "user_id", _per_user(support), ready["users"])
+    source = _corrected(rows.select(*ITEM_INPUTS))
+    out = per_group(_corrected(out), "item_id", _per_item(support), ready["items"], source)
     out = price.transform(brand.transform(out, ready["brand"]), ready["price"])
     out = f.new_user(f.type_dummies(out))
     out = f.assumed_age(f.time_to_delivery(f.membership_age(f.was_delivered(out))))

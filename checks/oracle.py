@@ -282,6 +282,65 @@ REVENUE_SWEEP = _sweep(REVENUE, "revenue", 0.8, 1.7)
 COST_SWEEP = _sweep(COST, "error_cost", 0.98, 1.1)
 
 
+GREEDY = """base as (
+  select fold, returned, ce_brand as m0, ce_user as m1, ce_price as m2
+  from (select *, {fold} from stand_ins where not is_unknown)
+),
+units(place, model, w0, w1, w2) as (values
+  (0, 'ce_brand', 1e0, 0e0, 0e0), (1, 'ce_user', 0e0, 1e0, 0e0), (2, 'ce_price', 0e0, 0e0, 1e0)),
+pool as (
+  select fold, 0 as step, place, w0, w1, w2, auc from areas join units using (model)
+  union all (
+    with best as (
+      select fold, max(auc) as auc, arg_max(struct_pack(w0 := w0, w1 := w1, w2 := w2), struct_pack(a := auc, p := -place)) as w
+      from pool group by fold
+    ),
+    mixed as (
+      select p.fold, p.place, (p.w0 + w.w0) / 2 as w0, (p.w1 + w.w1) / 2 as w1, (p.w2 + w.w2) / 2 as w2
+      from pool p join best using (fold)
+    ),
+    merged as (
+      select fold, place, m0 * w0 + m1 * w1 + m2 * w2 as score,
+        cast(sum(returned) as double) as pos, cast(sum(1 - returned) as double) as neg
+      from mixed join base using (fold) group by all
+    ),
+    summed as (
+      select *, sum(pos) over (partition by fold, place order by score desc) as up from merged
+    ),
+    rated as (
+      select fold, place, sum(neg * (2 * up - pos)) / 2 / (sum(pos) * sum(neg)) as auc
+      from summed group by fold, place
+    ),
+    top as (
+      select fold, max(rated.auc) as auc, arg_max(place, struct_pack(a := rated.auc, p := -place)) as place
+      from rated group by fold
+    ),
+    grown as (
+      select top.fold, top.place, top.auc from top join best using (fold) where top.auc > best.auc
+    )
+    select fold, step + 1, pool.place, w0, w1, w2, pool.auc from pool semi join grown using (fold)
+    union all
+    select fold, (select max(step) from pool) + 1, (select max(place) from pool) + 1, w0, w1, w2, grown.auc
+    from grown join mixed using (fold, place)
+  )
+),
+ended as (
+  select fold, max(step) + 1 as rounds, max(auc) as auc,
+    arg_max([w0, w1, w2], struct_pack(a := auc, p := -place)) as weights
+  from pool group by fold
+)
+select fold, cast(rounds as int) as rounds, auc, model, weights[place + 1] as weight
+from ended cross join units where weights[place + 1] > 0
+"""
+
+
+def _greedy() -> str:
+    """The pool of each fold as the recursive table, one step per round."""
+    start = _with(*STAND_INS, LONG, _auc("models", "not is_unknown", "fold, model"))
+    recursive = start.replace("with ", "with recursive ", 1).rstrip()
+    return recursive + ",\n" + GREEDY.format(fold=FOLD)
+
+
 def _decisions() -> dict[str, str]:
     scored = _with(*USER_SCORE, DECIDED)
     known = "from decided where not is_unknown"
@@ -343,6 +402,7 @@ from sales where not is_unknown""",
         + "select order_item_id, ce_brand, ce_user, ce_price from stand_ins",
         "mean_ensemble_auc": _with(*STAND_INS, averaged, _auc("meaned", "not is_unknown"))
         + "select auc from areas",
+        "greedy_ensemble": _greedy(),
         "fold_average": _with(*STAND_INS)
         + f"select order_item_id, {MEAN} as score from stand_ins where is_unknown",
         "out_of_fold": _with(*STAND_INS)

@@ -426,6 +426,7 @@ from sales where is_unknown""",
   cast(date_diff('day', user_reg_date, order_date) as int) as days from sales""",
         "feature_table": _table(Support()),
         "feature_table_hot_groups": _table(MIXED),
+        "feature_table_large_catalogue": _table(MIXED),
         "feature_table_two_files": _table(MIXED, rekeyed=True),
         **_encoders(),
         **_features(),

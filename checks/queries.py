@@ -105,7 +105,13 @@ def feature_table(spark, sf_dir):
 
 def feature_table_hot_groups(spark, sf_dir):
     """Both forms of every group value: busy users and items are joined."""
-    return _features_ready(spark, sf_dir, FeatureConfig(support=MIXED, max_group_rows=30))
+    config = FeatureConfig(support=MIXED, max_group_rows=30, max_item_rows=0)
+    return _features_ready(spark, sf_dir, config)
+
+
+def feature_table_large_catalogue(spark, sf_dir):
+    """Rows are shuffled to their items, as for a catalogue too big to broadcast."""
+    return _features_ready(spark, sf_dir, FeatureConfig(support=MIXED, max_item_rows=0))
 
 
 def feature_table_two_files(spark, sf_dir):
@@ -413,7 +419,7 @@ def _feature_queries() -> dict[str, Query]:
 def all_queries() -> dict[str, Query]:
     direct = [
         stack_splits, csv_roundtrip, rekey_unknown, feature_table, feature_table_hot_groups,
-        feature_table_two_files, date_parts, kfold_assign, stratified_folds, holdout, roc_curve,
+        feature_table_large_catalogue, feature_table_two_files, date_parts, kfold_assign, stratified_folds, holdout, roc_curve,
         auc, auc_by_model, best_model, best_fold, mean_ensemble, merged_scores, mean_ensemble_auc,
         greedy_ensemble, fold_average, out_of_fold, tau, warn, count_warned, revenue, error_cost,
         head_rows, revenue_sweep, cost_sweep, best_multiplier, best_cost_multiplier, calibration,

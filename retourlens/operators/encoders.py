@@ -47,6 +47,11 @@ class TargetEncoder:
         value = F.coalesce(rate, F.lit(self.prior))
         return F.when(usable, round_half_even(value, self.out_digits))
 
+    def from_sums(self, df: DataFrame, support: str, returns: str) -> DataFrame:
+        """Encode rows that already carry their key's labelled rows and returns."""
+        rate = self._rate(F.col(support), F.col(returns))
+        return df.withColumn(self.output, self._finish(rate))
+
     def fit(self, known: DataFrame) -> DataFrame:
         """One row per key with its (unrounded by ``out_digits``) rate."""
         return (
@@ -61,16 +66,20 @@ class TargetEncoder:
         found = attach(df, encodings, self.keys)
         return found.withColumn(self.output, self._finish(F.col(self.output)))
 
-    def step(self) -> GroupStep:
-        """Fit on the rows that are not ``is_unknown``, encode all of them."""
+    def step(self, counted: tuple[str, str] | None = None) -> GroupStep:
+        """Fit on the rows that are not ``is_unknown``, encode all of them.
+
+        ``counted`` names columns of labelled rows and returns, for a frame
+        whose rows stand for many.
+        """
         label = F.when(~F.col("is_unknown"), F.col(self.label))
         support, returns = f"__{self.output}_n", f"__{self.output}_r"
-        rate = self._finish(self._rate(F.col(support), F.col(returns)))
+        sums = (F.count(label), F.sum(label)) if counted is None else map(F.sum, counted)
 
         def finish(df: DataFrame) -> DataFrame:
-            return df.withColumn(self.output, rate).drop(support, returns)
+            return self.from_sums(df, support, returns).drop(support, returns)
 
-        return GroupStep(self.keys, {support: F.count(label), returns: F.sum(label)}, finish)
+        return GroupStep(self.keys, dict(zip((support, returns), sums)), finish)
 
     def fit_transform(self, df: DataFrame, form: Form = Joined()) -> DataFrame:
         return self.step().run(df, form)
@@ -82,12 +91,14 @@ class RobustScaler:
 
     The joined form reduces rows to counted distinct values before it takes
     the medians, so its buffers grow with a group's distinct values only.
+    ``weight`` names how many rows a row stands for, one if not given.
     """
 
     keys: Sequence[str]
     value: str
     output: str
     digits: int = 2
+    weight: str | None = None
 
     def _scaled(self) -> Column:
         value, spread = F.col(self.value), F.col("__mad")
@@ -97,14 +108,16 @@ class RobustScaler:
     def transform(self, df: DataFrame, form: Form = Joined()) -> DataFrame:
         away = F.abs(F.col(self.value) - F.col("__median"))
         if isinstance(form, Windowed):
-            centred = form.values(df, self.keys, {"__median": F.median(self.value)})
-            ready = form.values(centred, self.keys, {"__away": F.median(away)})
+            times = F.col(self.weight) if self.weight else F.lit(1)
+            middle = F.percentile(self.value, F.lit(0.5), times)
+            centred = form.values(df, self.keys, {"__median": middle})
+            ready = form.values(centred, self.keys, {"__away": F.percentile(away, F.lit(0.5), times)})
         else:
             counted = (
                 form.rows(df)
                 .dropna(subset=[*self.keys, self.value])
                 .groupBy(*self.keys, self.value)
-                .agg(F.count("*").alias("__n"))
+                .agg((F.sum(self.weight) if self.weight else F.count("*")).alias("__n"))
             )
             middle = counted.groupBy(*self.keys).agg(
                 F.percentile(self.value, F.lit(0.5), F.col("__n")).alias("__median")

@@ -79,14 +79,15 @@ def rounded_price(df: DataFrame) -> DataFrame:
     return df.withColumn("item_price", round_half_even("item_price"))
 
 
-def discount_step() -> GroupStep:
-    """Item's mean price above the row's price; expects the rounded price."""
+def flag_discount(df: DataFrame) -> DataFrame:
+    """1 where the price is below the item's ``__mean_price``, which goes."""
     below = flag(F.col("__mean_price") - F.col("item_price") > 0)
+    return df.withColumn("is_discounted", below).drop("__mean_price")
 
-    def finish(df: DataFrame) -> DataFrame:
-        return df.withColumn("is_discounted", below).drop("__mean_price")
 
-    return GroupStep(["item_id"], {"__mean_price": F.avg("item_price")}, finish)
+def discount_step() -> GroupStep:
+    """Item's mean price above the row's price; expects the rounded price."""
+    return GroupStep(["item_id"], {"__mean_price": F.avg("item_price")}, flag_discount)
 
 
 def is_discounted(df: DataFrame, form: Form = Joined()) -> DataFrame:

@@ -26,14 +26,18 @@ def all_present(columns: Sequence[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in columns])
 
 
-def attach(df: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join of a table with one row per key; a null key finds nothing.
+def attach(
+    df: DataFrame, lookup: DataFrame, keys: Sequence[str], null_safe: Sequence[str] = ()
+) -> DataFrame:
+    """Left join of a table with one row per key; a null key finds nothing,
+    except in the ``null_safe`` columns, where it finds the null's own row.
 
     There is no broadcast hint: Spark broadcasts by the measured size, and
     splits skewed partitions of ``df`` otherwise.
     """
     renamed = lookup.withColumnsRenamed({k: f"__key_{k}" for k in keys})
-    same = reduce(and_, [F.col(k) == F.col(f"__key_{k}") for k in keys])
+    pairs = [(k, F.col(k), F.col(f"__key_{k}")) for k in keys]
+    same = reduce(and_, [a.eqNullSafe(b) if k in null_safe else a == b for k, a, b in pairs])
     return df.join(renamed, same, "left").drop(*[f"__key_{k}" for k in keys])
 
 

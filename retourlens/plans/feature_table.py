@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from retourlens.operators import features as f
 from retourlens.operators import tables
 from retourlens.operators.grouping import MAX_GROUP_ROWS, Form, hot_keys, per_group, run_steps
-from retourlens.session import settle_all
+from retourlens.plans.item_tables import attach_items, colour_sums, size_sums
+from retourlens.session import settle, settle_all
 
 IDS = ["order_item_id", "item_id", "brand_id", "user_id"]
 LABEL = "returned"
@@ -23,6 +24,8 @@ FEATURES = [
     "membership_age_days", "time_to_delivery_days", "assumed_age",
 ]
 ITEM_INPUTS = ["item_id", "item_size", "item_color", "item_price", "is_unknown", LABEL]
+# Rows of an item table that may be broadcast, some 60 bytes each.
+MAX_ITEM_ROWS = 500_000
 UNUSED = ["user_state", "user_title"]
 
 
@@ -30,6 +33,7 @@ UNUSED = ["user_state", "user_title"]
 class FeatureConfig:
     support: f.Support = field(default_factory=f.Support)
     max_group_rows: int = MAX_GROUP_ROWS
+    max_item_rows: int = MAX_ITEM_ROWS
 
 
 def _per_user(support: f.Support):
@@ -68,24 +72,32 @@ def _corrected(df: DataFrame) -> DataFrame:
 def build_features_stacked(sales: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
     """Feature table of rows that already carry ``is_unknown``.
 
-    Rows move twice, once to their user and once to their item. Brand and
+    Rows move once, to their user, where the catalogue is small enough to
+    broadcast, and a second time, to their item, where it is not. Brand and
     price rates are fitted first and joined as the small tables they are.
     """
     support, limit = config.support, config.max_group_rows
     rows = f.rounded_price(tables.drop(sales, UNUSED))
     known = rows.where(~F.col("is_unknown"))
+    items = _corrected(rows.select(*ITEM_INPUTS))
     brand, price = f.brand_encoder(support), f.price_encoder(support)
     ready = settle_all(
         {
             "brand": brand.fit(known),
             "price": price.fit(known),
             "users": hot_keys(sales, "user_id", limit),
-            "items": hot_keys(sales, "item_id", limit),
+            "sizes": size_sums(items),
+            "colours": colour_sums(items),
         }
     )
-    out = per_group(rows, "user_id", _per_user(support), ready["users"])
-    source = _corrected(rows.select(*ITEM_INPUTS))
-    out = per_group(_corrected(out), "item_id", _per_item(support), ready["items"], source)
+    out = _corrected(per_group(rows, "user_id", _per_user(support), ready["users"]))
+    if max(ready["sizes"].count(), ready["colours"].count()) <= config.max_item_rows:
+        out = attach_items(out, ready["sizes"], ready["colours"], support)
+    else:
+        # Items with many rows follow from the sums; no second scan is needed.
+        counts = ready["sizes"].groupBy("item_id").agg(F.sum("__rows").alias("rows"))
+        hot = settle(counts.where(F.col("rows") > limit).select("item_id"), "items")
+        out = per_group(out, "item_id", _per_item(support), hot, items)
     out = price.transform(brand.transform(out, ready["brand"]), ready["price"])
     out = f.new_user(f.type_dummies(out))
     out = f.assumed_age(f.time_to_delivery(f.membership_age(f.was_delivered(out))))

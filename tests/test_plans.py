@@ -41,17 +41,37 @@ def test_feature_totals(spark):
 def test_hot_and_cold_forms_agree(spark):
     rows = sales(spark, SMALL)
     cold = build_features_stacked(rows, FeatureConfig(MIXED))
-    hot = build_features_stacked(rows, FeatureConfig(MIXED, max_group_rows=30))
-    assert hot.exceptAll(cold).isEmpty() and cold.exceptAll(hot).isEmpty()
+    large = build_features_stacked(rows, FeatureConfig(MIXED, max_item_rows=0))
+    hot = build_features_stacked(rows, FeatureConfig(MIXED, max_group_rows=30, max_item_rows=0))
+    for other in (large, hot):
+        assert other.exceptAll(cold).isEmpty() and cold.exceptAll(other).isEmpty()
     assert hot.count() == rows.count()
 
 
 @needs_data
-def test_feature_plan_moves_rows_twice(spark):
-    """Beyond the adapter's own order shuffle: one to users, one to items."""
-    text = plan(build_features_stacked(sales(spark, SMALL)))
-    moved = re.findall(r"Exchange hashpartitioning\((\w+)#", text)
-    assert sorted(moved) == ["item_id", "l_orderkey", "user_id"]
+def test_missing_sizes_and_colours_agree(spark):
+    rows = sales(spark, SMALL).withColumns(
+        {
+            "item_size": F.when(F.col("order_item_id") % 5 != 0, F.col("item_size")),
+            "item_color": F.when(F.col("order_item_id") % 7 != 0, F.col("item_color")),
+        }
+    )
+    joined = build_features_stacked(rows, FeatureConfig(MIXED))
+    windowed = build_features_stacked(rows, FeatureConfig(MIXED, max_item_rows=0))
+    assert joined.exceptAll(windowed).isEmpty() and windowed.exceptAll(joined).isEmpty()
+    assert joined.where("item_size is null and size_item_ce is null and type_1 is not null").count() > 0
+
+
+@needs_data
+def test_rows_move_to_users_and_a_large_catalogue_to_items(spark):
+    """The adapter itself shuffles by order, once."""
+    rows = sales(spark, SMALL)
+    large = plan(build_features_stacked(rows, FeatureConfig(max_item_rows=0)))
+    keys = re.findall(r"Exchange hashpartitioning\((\w+)#", large)
+    assert sorted(keys) == ["item_id", "l_orderkey", "user_id"]
+    small = plan(build_features_stacked(rows))
+    assert re.findall(r"Exchange hashpartitioning\((user_id|l_orderkey)#", small) == ["user_id", "l_orderkey"]
+    assert "SortMergeJoin" not in small.split("Exchange hashpartitioning(user_id")[0].split("BroadcastExchange")[0]
 
 
 @needs_data

@@ -105,13 +105,13 @@ def feature_table(spark, sf_dir):
 
 def feature_table_hot_groups(spark, sf_dir):
     """Both forms of every group value: busy users and items are joined."""
-    config = FeatureConfig(support=MIXED, max_group_rows=30, max_item_rows=0)
+    config = FeatureConfig(support=MIXED, max_group_rows=30, max_item_bytes=0)
     return _features_ready(spark, sf_dir, config)
 
 
 def feature_table_large_catalogue(spark, sf_dir):
     """Rows are shuffled to their items, as for a catalogue too big to broadcast."""
-    return _features_ready(spark, sf_dir, FeatureConfig(support=MIXED, max_item_rows=0))
+    return _features_ready(spark, sf_dir, FeatureConfig(support=MIXED, max_item_bytes=0))
 
 
 def feature_table_two_files(spark, sf_dir):

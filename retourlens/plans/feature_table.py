@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from retourlens.operators import features as f
 from retourlens.operators import tables
 from retourlens.operators.grouping import MAX_GROUP_ROWS, Form, hot_keys, per_group, run_steps
-from retourlens.plans.item_tables import attach_items, colour_sums, size_sums
+from retourlens.plans.item_tables import attach_items, broadcast_bytes, colour_sums, size_sums
 from retourlens.session import settle, settle_all
 
 IDS = ["order_item_id", "item_id", "brand_id", "user_id"]
@@ -24,8 +24,8 @@ FEATURES = [
     "membership_age_days", "time_to_delivery_days", "assumed_age",
 ]
 ITEM_INPUTS = ["item_id", "item_size", "item_color", "item_price", "is_unknown", LABEL]
-# Rows of an item table that may be broadcast, some 60 bytes each.
-MAX_ITEM_ROWS = 500_000
+# Size up to which an item table is broadcast.
+MAX_ITEM_BYTES = 48 * 1024 * 1024
 UNUSED = ["user_state", "user_title"]
 
 
@@ -33,7 +33,7 @@ UNUSED = ["user_state", "user_title"]
 class FeatureConfig:
     support: f.Support = field(default_factory=f.Support)
     max_group_rows: int = MAX_GROUP_ROWS
-    max_item_rows: int = MAX_ITEM_ROWS
+    max_item_bytes: int = MAX_ITEM_BYTES
 
 
 def _per_user(support: f.Support):
@@ -91,7 +91,8 @@ def build_features_stacked(sales: DataFrame, config: FeatureConfig = FeatureConf
         }
     )
     out = _corrected(per_group(rows, "user_id", _per_user(support), ready["users"]))
-    if max(ready["sizes"].count(), ready["colours"].count()) <= config.max_item_rows:
+    parts = {"sizes": "item_size", "colours": "item_color"}
+    if all(broadcast_bytes(ready[n], c) <= config.max_item_bytes for n, c in parts.items()):
         out = attach_items(out, ready["sizes"], ready["colours"], support)
     else:
         # Items with many rows follow from the sums; no second scan is needed.

@@ -15,6 +15,7 @@ from retourlens.operators import features as f
 from retourlens.operators.encoders import RobustScaler
 from retourlens.operators.grouping import GroupStep, Windowed, attach, run_steps
 
+ROW_BYTES = 96
 COUNTED = ("__known", "__returns")
 
 
@@ -36,6 +37,12 @@ def colour_sums(rows: DataFrame) -> DataFrame:
     return _sums(rows, "item_color")
 
 
+def broadcast_bytes(sums: DataFrame, part: str) -> int:
+    """Upper estimate of a settled table's size in memory, from its contents."""
+    text = F.coalesce(F.sum(F.octet_length(part)), F.lit(0))
+    return sums.select(F.count("*") * ROW_BYTES + text).first()[0]
+
+
 def size_table(sums: DataFrame, support: f.Support) -> DataFrame:
     """``item_id, item_size`` as text, and what follows from them.
 

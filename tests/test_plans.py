@@ -41,8 +41,8 @@ def test_feature_totals(spark):
 def test_hot_and_cold_forms_agree(spark):
     rows = sales(spark, SMALL)
     cold = build_features_stacked(rows, FeatureConfig(MIXED))
-    large = build_features_stacked(rows, FeatureConfig(MIXED, max_item_rows=0))
-    hot = build_features_stacked(rows, FeatureConfig(MIXED, max_group_rows=30, max_item_rows=0))
+    large = build_features_stacked(rows, FeatureConfig(MIXED, max_item_bytes=0))
+    hot = build_features_stacked(rows, FeatureConfig(MIXED, max_group_rows=30, max_item_bytes=0))
     for other in (large, hot):
         assert other.exceptAll(cold).isEmpty() and cold.exceptAll(other).isEmpty()
     assert hot.count() == rows.count()
@@ -57,7 +57,7 @@ def test_missing_sizes_and_colours_agree(spark):
         }
     )
     joined = build_features_stacked(rows, FeatureConfig(MIXED))
-    windowed = build_features_stacked(rows, FeatureConfig(MIXED, max_item_rows=0))
+    windowed = build_features_stacked(rows, FeatureConfig(MIXED, max_item_bytes=0))
     assert joined.exceptAll(windowed).isEmpty() and windowed.exceptAll(joined).isEmpty()
     assert joined.where("item_size is null and size_item_ce is null and type_1 is not null").count() > 0
 
@@ -66,7 +66,7 @@ def test_missing_sizes_and_colours_agree(spark):
 def test_rows_move_to_users_and_a_large_catalogue_to_items(spark):
     """The adapter itself shuffles by order, once."""
     rows = sales(spark, SMALL)
-    large = plan(build_features_stacked(rows, FeatureConfig(max_item_rows=0)))
+    large = plan(build_features_stacked(rows, FeatureConfig(max_item_bytes=0)))
     keys = re.findall(r"Exchange hashpartitioning\((\w+)#", large)
     assert sorted(keys) == ["item_id", "l_orderkey", "user_id"]
     small = plan(build_features_stacked(rows))

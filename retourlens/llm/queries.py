@@ -4,15 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retourlens.llm import chat, exact_dedup, mixing
+from retourlens.llm import bpe, chat, exact_dedup, mixing, pii
 from retourlens.llm.tables import read, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def byte_bpe_50k() -> str:
+    """Where the public byte-level vocabulary lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_bpe(spark, sf_dir):
+    path = byte_bpe_50k()
+    ids = bpe.encode(read(spark, sf_dir, "documents"), path, carry=["doc_id"])
+    return bpe.decode(ids, path).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def _listed(spans) -> Column:
+    text = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    return F.array_join(text, ",")
+
+
+def _count(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
+def op4_pii(spark, sf_dir):
+    found = pii.detect(read(spark, sf_dir, "documents"), carry=["doc_id"])
+    counts = [_count(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS]
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    return found.select("doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+
+
 def op5_mix_sources(spark, sf_dir):
     mixed = mixing.mix_sources(read(spark, sf_dir, "documents"), keep_text=False)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -41,6 +73,8 @@ def op7_exact_dedup(spark, sf_dir):
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op3_bpe": op3_bpe,
+        "op4_pii": op4_pii,
         "op5_mix_sources": op5_mix_sources,
         "op6_chat_format": op6_chat_format,
         "op7_exact_dedup": op7_exact_dedup,

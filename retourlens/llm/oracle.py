@@ -2,6 +2,17 @@
 
 from __future__ import annotations
 
+OP1 = r"""
+with rows as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+  select q.vec_id as query_id, r.vec_id, list_sum(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2]))::bigint as score
+  from rows q join rows r on q.vec_id % 50 = 0 and q.vec_id <> r.vec_id),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from pairs)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
 #: Water filling in closed form, then the hash cut that comes nearest to the rest of each budget.
 OP5 = r"""
 with docs as (
@@ -65,4 +76,4 @@ from texts window g as (partition by text_sha256)
 
 
 def all_sql() -> dict[str, str]:
-    return {"op5_mix_sources": OP5, "op6_chat_format": OP6, "op7_exact_dedup": OP7}
+    return {"op1_bsi_topk": OP1, "op5_mix_sources": OP5, "op6_chat_format": OP6, "op7_exact_dedup": OP7}

@@ -7,12 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retourlens.llm import bpe, chat, exact_dedup, mixing, pii
+from retourlens.llm import bpe, bsi_search, chat, exact_dedup, langid, mixing, pii, quality
 from retourlens.llm.tables import read, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_bsi_topk(spark, sf_dir):
+    vectors = read(spark, sf_dir, "embeddings")
+    return bsi_search.search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def op2_language_id(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = (langid.id_hash("doc_id") % 5 == 0).alias("held_out")
+    model = langid.fit(docs.where(langid.id_hash("doc_id") % 5 != 0))
+    return langid.identify(docs, model, carry=["doc_id"]).select("doc_id", held_out, "lang_pred", "score", "rejected")
+
+
 def byte_bpe_50k() -> str:
     """Where the public byte-level vocabulary lies."""
     import public_tokenizers
@@ -71,11 +83,23 @@ def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.mark_copies(read(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
+def op8_quality(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality")
+    learn = docs.join(labels, "doc_id").where(langid.id_hash("doc_id") % 3 != 1)
+    held_out = (langid.id_hash("doc_id") % 3 == 1).alias("held_out")
+    scored = quality.score(docs, quality.fit(learn), carry=["doc_id"])
+    return scored.select("doc_id", held_out, "score", "predicted")
+
+
 def all_queries() -> dict[str, Query]:
     return {
+        "op1_bsi_topk": op1_bsi_topk,
+        "op2_language_id": op2_language_id,
         "op3_bpe": op3_bpe,
         "op4_pii": op4_pii,
         "op5_mix_sources": op5_mix_sources,
         "op6_chat_format": op6_chat_format,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_quality": op8_quality,
     }

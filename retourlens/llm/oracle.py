@@ -75,5 +75,25 @@ from texts window g as (partition by text_sha256)
 """
 
 
+#: All pairs that share a shingle; classes by spreading the smallest id.
+OP9 = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) end as s from words),
+tokens as (select doc_id, len(s) as n, unnest(s) as token from sets),
+links as (
+  select a.doc_id as x, b.doc_id as y from tokens a join tokens b on a.token = b.token and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reached as (
+  select doc_id as x, doc_id as y from sets
+  union select r.x, l.y from reached r join links l on r.y = l.x)
+select doc_id, len(s)::bigint as n_shingles, least_id as component_id
+from sets join (select x, min(y) as least_id from reached group by x) on x = doc_id
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op1_bsi_topk": OP1, "op5_mix_sources": OP5, "op6_chat_format": OP6, "op7_exact_dedup": OP7}
+    return {"op1_bsi_topk": OP1, "op5_mix_sources": OP5, "op6_chat_format": OP6, "op7_exact_dedup": OP7, "op9_jaccard_join": OP9}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retourlens.llm import bpe, bsi_search, chat, exact_dedup, langid, mixing, pii, quality
+from retourlens.llm import bpe, bsi_search, chat, exact_dedup, jaccard, langid, mixing, pii, quality
 from retourlens.llm.tables import read, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,11 @@ def op8_quality(spark, sf_dir):
     return scored.select("doc_id", held_out, "score", "predicted")
 
 
+def op9_jaccard_join(spark, sf_dir):
+    classes = jaccard.link_classes(read(spark, sf_dir, "documents"), words=4, percent=85)
+    return classes.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_bsi_topk": op1_bsi_topk,
@@ -102,4 +107,5 @@ def all_queries() -> dict[str, Query]:
         "op6_chat_format": op6_chat_format,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_quality": op8_quality,
+        "op9_jaccard_join": op9_jaccard_join,
     }

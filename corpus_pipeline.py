@@ -3,25 +3,47 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from retourlens.llm import exact_dedup, mixing
+from retourlens.llm import bpe, exact_dedup, jaccard, langid, mixing
+from retourlens.llm.queries import byte_bpe_50k
 from retourlens.llm.tables import read
 from retourlens.session import settle
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or too far from every language of the labelled ones, go."""
+    return langid.keep_identified(docs, langid.fit(docs))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays."""
+    """Of equal texts, the document with the smallest id stays."""
     return exact_dedup.deduplicate(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts linked by five-word shingles and a similarity of 0.8 or more, the smallest id stays."""
+    return jaccard.keep_one(docs, words=5, percent=80)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of its sources takes it."""
     return mixing.take(mixing.mix_sources(docs), docs.columns)
 
 
-STAGES = [("exact dedup", drop_copies), ("mixing sources to target weights", mix)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids, source and language with the packed token ids and what they decode to."""
+    path = byte_bpe_50k()
+    ids = bpe.encode(docs, path, carry=["doc_id", "lang", "source"])
+    return bpe.decode(ids, path).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+
+
+STAGES = [
+    ("language id", identify_language), ("exact dedup", drop_copies), ("n-gram Jaccard join", drop_near_copies),
+    ("mixing sources to target weights", mix), ("BPE encoding and decoding", encode),
+]
 
-#: The first stage's model and the encoder can't be written in SQL; tests use brute force.
+#: The language model and the encoder can't be written in SQL; tests use brute force.
 ORACLE_SQL = None
 
 

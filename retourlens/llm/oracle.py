@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from retourlens.llm.licences import LEAST_SCORE, LOWER, TEMPLATES, TOKEN, UPPER
+
 OP1 = r"""
 with rows as (
   select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
@@ -95,5 +97,50 @@ from sets join (select x, min(y) as least_id from reached group by x) on x = doc
 """
 
 
+_VALUES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(sorted(TEMPLATES.items())))
+OP10 = rf"""
+with templates(place, licence, notice) as (values {_VALUES}),
+template_tokens as (
+  select place, token, count(*) as n
+  from (select place, unnest(regexp_extract_all(lower(notice), '{TOKEN}')) as token from templates) group by all),
+idf as (select token, ln((1.0 + {len(TEMPLATES)}) / (1 + count(*))) + 1 as idf from template_tokens group by token),
+vectors as (
+  select place, token, n * idf / sqrt(sum(n * idf * n * idf) over (partition by place)) as w
+  from template_tokens join idf using (token)),
+files as (
+  select doc_id, text, concat_ws('/', source, doc_id // 100) as top, doc_id % 10 = 0 as named,
+    case when doc_id % 10 = 0 then concat_ws('/', source, doc_id // 100, 'LICENSE')
+      else concat_ws('/', source, doc_id // 100, doc_id // 10 % 10, doc_id || '.txt') end as path
+  from documents),
+passages as (
+  select doc_id, unnest(string_split(text, chr(10))) as passage from files
+  union all select doc_id, text from files where named),
+numbered as (select row_number() over () as p, doc_id, passage from passages),
+tokens as (
+  select p, doc_id, token, count(*) as n
+  from (select p, doc_id, unnest(regexp_extract_all(translate(passage, '{UPPER}', '{LOWER}'), '{TOKEN}')) as token from numbered)
+  group by all),
+lengths as (
+  select p, sqrt(sum(n * n * coalesce(idf, ln(1.0 + {len(TEMPLATES)}) + 1) * coalesce(idf, ln(1.0 + {len(TEMPLATES)}) + 1))) as length
+  from tokens left join idf using (token) group by p),
+scores as (
+  select p, doc_id, place, round(sum(n * idf * w) / any_value(length), 6) as score
+  from tokens join vectors using (token) join idf using (token) join lengths using (p) group by p, doc_id, place),
+own as (
+  select doc_id, arg_min(licence, (-score, place)) as own_licence, max(score) as own_score
+  from scores join templates using (place) where score >= {LEAST_SCORE} group by doc_id),
+marked as (
+  select doc_id, path, top, named, own_licence, own_score,
+    case when named then top else top || '/' || doc_id // 10 % 10 end as dir
+  from files left join own using (doc_id)),
+given as (
+  select top as above, arg_min(own_licence, (-own_score, own_licence)) as given
+  from marked where named and own_licence is not null group by top)
+select doc_id, path, own_licence, own_score, coalesce(own_licence, given) as licence,
+  case when own_licence is null then above end as inherited_from
+from marked left join given on top = above
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op1_bsi_topk": OP1, "op5_mix_sources": OP5, "op6_chat_format": OP6, "op7_exact_dedup": OP7, "op9_jaccard_join": OP9}
+    return {"op1_bsi_topk": OP1, "op5_mix_sources": OP5, "op6_chat_format": OP6, "op7_exact_dedup": OP7, "op9_jaccard_join": OP9, "op10_licence_scan": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retourlens.llm import bpe, bsi_search, chat, exact_dedup, jaccard, langid, mixing, pii, quality
+from retourlens.llm import bpe, bsi_search, chat, exact_dedup, jaccard, langid, licences, mixing, pii, quality
 from retourlens.llm.tables import read, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,19 @@ def op9_jaccard_join(spark, sf_dir):
     return classes.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+def repository_paths(docs: DataFrame) -> DataFrame:
+    """Documents as files: source/hundreds/tens/id.txt; every tenth id is a licence file in the folder of its hundreds."""
+    hundreds, tens = F.floor(F.col("doc_id") / 100), F.floor(F.col("doc_id") / 10) % 10
+    top = F.concat_ws("/", "source", hundreds.cast("string"))
+    file = F.concat_ws("/", top, tens.cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return docs.withColumn("path", F.when(F.col("doc_id") % 10 == 0, F.concat(top, F.lit("/LICENSE"))).otherwise(file))
+
+
+def op10_licence_scan(spark, sf_dir):
+    files = repository_paths(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return licences.scan(files, carry=["doc_id", "path"])
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_bsi_topk": op1_bsi_topk,
@@ -108,4 +121,5 @@ def all_queries() -> dict[str, Query]:
         "op7_exact_dedup": op7_exact_dedup,
         "op8_quality": op8_quality,
         "op9_jaccard_join": op9_jaccard_join,
+        "op10_licence_scan": op10_licence_scan,
     }

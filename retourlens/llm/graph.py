@@ -17,7 +17,7 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
     as the logarithm of the longest chain: each node passes its smallest
     neighbour to its larger neighbours, then to its smaller ones. Minima are
     combined before the shuffle, and joined back, so that a node with a third of
-    all links stays splittable. Self links make a node its own root.
+    all links stays splittable. Self links count as none.
     """
     edges = settle(links.select("a", "b").where("a <> b").distinct(), f"{name}-links")
     before = None

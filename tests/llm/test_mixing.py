@@ -1,0 +1,73 @@
+import pytest
+from pyspark.sql import functions as F
+
+from retourlens.llm import mixing
+from tests.llm.helpers import documents, prose
+
+
+def filled(sizes, weights, total, ceiling):
+    """Targets by sharing and resharing until none is above its limit."""
+    order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    target, free, left = {}, set(order), total
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = {s for s in free if weight[s] * level > ceiling * sizes[s]}
+        if not over:
+            return target | {s: weight[s] * level for s in free}
+        for s in over:
+            target[s] = ceiling * sizes[s]
+            left -= target[s]
+        free -= over
+    return target
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    sources = [["a", "b", "c", None, "é"][(i * i) % 5] for i in range(400)]
+    texts = [None if i % 41 == 0 else "" if i % 43 == 0 else prose(i, i % 30 * (9 if sources[i] == "a" else 1)) for i in range(400)]
+    return documents(spark, texts, source=sources)
+
+
+def test_targets_and_taken_words(spark, docs):
+    found = mixing.mix_sources(docs).collect()
+    sizes, taken, target = {}, {}, {}
+    for row in found:
+        assert row["size"] == len((row["text"] or "").split())
+        assert row["taken"] == row["copies"] * row["size"] <= 2 * row["size"]
+        sizes[row["source"]] = sizes.get(row["source"], 0) + row["size"]
+        taken[row["source"]] = taken.get(row["source"], 0) + row["taken"]
+        target[row["source"]] = row["target"]
+    assert all(r["source_size"] == sizes[r["source"]] for r in found)
+    want = filled(sizes, (5, 2, 1), 1.5 * sum(sizes.values()), 2)
+    for s in sizes:
+        assert target[s] == pytest.approx(want[s])
+        assert abs(taken[s] - target[s]) <= max(r["size"] for r in found if r["source"] == s)
+
+
+def test_reruns_agree_and_partitioning_does_not_matter(docs):
+    keys = ["doc_id", "taken"]
+    first = sorted(map(tuple, mixing.mix_sources(docs).select(keys).collect()))
+    again = mixing.mix_sources(docs.repartition(13, "text"), keep_text=False).select(keys).collect()
+    assert first == sorted(map(tuple, again))
+
+
+def test_take_repeats_rows(docs):
+    mixed = mixing.mix_sources(docs)
+    total = mixed.agg(F.sum("copies")).first()[0]
+    mix = mixing.take(mixed, docs.columns)
+    assert mix.columns == docs.columns and mix.count() == total
+
+
+def test_clashing_columns_repeated_rows_and_null_ids(spark):
+    rows = [(None, "a b", "x", 1, "z"), (None, "a b", "x", 1, "z"), (1, "c d e", "x", 2, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int, key string")
+    found = mixing.mix_sources(docs)
+    assert found.columns == ["doc_id", "text", "source", "key", "size", "source_size", "target", "copies", "taken"]
+    assert sorted(r["size"] for r in found.collect()) == [2, 2, 3]
+
+
+def test_texts_without_words_and_empty_table(spark):
+    found = mixing.mix_sources(documents(spark, ["", None, "  "])).collect()
+    assert [(r["size"], r["source_size"], r["target"], r["taken"]) for r in found] == [(0, 0, 0.0, 0)] * 3
+    assert mixing.mix_sources(documents(spark, [])).count() == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.queries import FOLD_SEED, HOLDOUT_SEED, MIXED, STRATIFIED_SEED
+from checks.queries import DEAR, FLAGS, FOLD_SEED, HOLDOUT_SEED, MIXED, STRATIFIED_SEED
 from retourlens.operators.features import Support
 
 SALES = """
@@ -210,6 +210,69 @@ from own join scaled using (order_item_id) join kinds using (item_id)
     )
 
 
+def _gaps() -> str:
+    """Values of groups where every eleventh row lacks its item, and so on."""
+    lacking = "sales as (select * replace (" + ", ".join(
+        f"case when order_item_id % {n} <> 0 then {c} end as {c}"
+        for c, n in {"item_id": 11, "user_id": 13, "item_price": 5, "item_size": 7, "item_color": 17}.items()
+    ) + ") from raw_sales)"
+    parts = [
+        SALES.replace("sales as", "raw_sales as", 1), lacking, PRICED, COLOURED, SIZED, TYPED,
+        _item(MIXED), _user(MIXED), _colour(MIXED), _size(MIXED),
+    ]
+    dummies = ", ".join(f"cast(coalesce(type, 2) = {t} as int) as type_{t}" for t in range(1, 8))
+    return (
+        "with " + ",\n".join(parts) + f"""
+select order_item_id,
+  cast(coalesce(case when item_id is not null then avg(item_price) over (partition by item_id) end - item_price > 0, false)
+    as int) as is_discounted,
+  case when item_id is not null or is_unknown then ce_item end as ce_item,
+  case when user_id is not null or is_unknown then ce_user end as ce_user,
+  case when item_id is not null and item_size is not null then size_item_ce end as size_item_ce,
+  case when item_id is not null and item_color is not null then colour_item_ce end as colour_item_ce,
+  case when user_id is not null then count(*) over (partition by user_id) end as count_user,
+  case when user_id is not null then sum(item_price) over (partition by user_id) end as customer_value, {dummies}
+from priced left join kinds using (item_id) join ce_item using (order_item_id) join ce_user using (order_item_id)
+  join size_item_ce using (order_item_id) join colour_item_ce using (order_item_id)
+"""
+    )
+
+
+FLAGGED = f"""flagged as (
+  select order_item_id, is_unknown, returned, cast(item_price >= {DEAR} as int) as dear, {DELIVERED}, {DISCOUNTED}, {DUMMIES}
+  from priced join kinds using (item_id)
+)"""
+
+
+def _stump(label: str, least: int) -> str:
+    """CTE ``split``: the flag whose two sides differ most, and each side's share of the label."""
+    sides = " union all ".join(
+        f"select '{f}' as flag, {i} as place, {f} as side, count(*) as n, sum({label}) as pos from flagged where not is_unknown group by {f}"
+        for i, f in enumerate(FLAGS)
+    )
+    return f"""sides as ({sides}),
+rated as (
+  select flag, place, sum(pos * pos / (n * 1e0) + (n - pos) * (n - pos) / (n * 1e0)) as purity
+  from sides group by flag, place having count(*) = 2 and min(n) >= {least}),
+split as (
+  select side, pos / (n * 1e0) as share, flag from sides
+  where flag = (select arg_max(flag, struct_pack(p := purity, o := -place)) from rated))"""
+
+
+def _stumps() -> dict[str, str]:
+    on = _with(PRICED, SIZED, TYPED, FLAGGED)
+    value = "case (select any_value(flag) from split) " + " ".join(f"when '{f}' then {f}" for f in FLAGS) + " end"
+    scored = """select order_item_id, round({score}, 10) as score from flagged join split on side = """ + value
+    fitted = lambda label, n: _with(PRICED, SIZED, TYPED, FLAGGED, _stump(label, n))
+    columns = ", ".join(f"{f}::double as {f}" for f in FLAGS)
+    return {
+        "assembled_vectors": on + f"select order_item_id, returned::double as label, {columns} from flagged where not is_unknown",
+        "forest_stump": fitted("dear", 2) + scored.format(score="share"),
+        "boosted_stump": fitted("returned", 7) + scored.format(score="1 / (1 + exp(-2 * (2 * share - 1)))"),
+        "stump_importance": fitted("dear", 2) + "select any_value(flag) as feature, 1e0 as importance from split",
+    }
+
+
 def _hash(seed: int) -> str:
     return f"('0x' || substr(md5(cast(order_item_id as varchar) || ':{seed}'), 1, 8))::bigint"
 
@@ -347,6 +410,9 @@ def _decisions() -> dict[str, str]:
     return {
         "tau": _with(PRICED) + f"select order_item_id, {TAU} as tau from priced",
         "warn": scored + f"select order_item_id, warn {known}",
+        "warn_negative_prices": _with(*USER_SCORE)
+        + f"""select order_item_id, case when {TAU} <= score then 1 else 0 end as warn
+from (select * replace (item_price - 40 as item_price) from scored)""",
         "count_warned": scored + f"select count(*) filter (warn = 1) as n_warned {known}",
         "revenue": scored + f"select order_item_id, {REVENUE} as revenue {known}",
         "error_cost": scored + f"select order_item_id, {COST} as error_cost {known}",
@@ -391,6 +457,10 @@ from sales where not is_unknown""",
         + """select score as threshold, cum_neg / (select sum(neg) from per_score) as fpr,
   cum_pos / (select sum(pos) from per_score) as tpr from running""",
         "auc": user + "select auc from areas",
+        "auc_gaps": _with(
+            *USER_SCORE, "gapped as (select * from scored where order_item_id % 10 > 1)", _auc("gapped", "not is_unknown")
+        )
+        + "select auc from areas",
         "auc_by_model": rated + "select fold, model, auc from areas",
         "best_model": rated
         + """select fold, arg_max(model, auc) as model, max(auc) as auc from (
@@ -404,7 +474,7 @@ from sales where not is_unknown""",
         + "select auc from areas",
         "greedy_ensemble": _greedy(),
         "fold_average": _with(*STAND_INS)
-        + f"select order_item_id, {MEAN} as score from stand_ins where is_unknown",
+        + "select order_item_id, round(ce_user + 0.005, 10) as score from stand_ins where is_unknown",
         "out_of_fold": _with(*STAND_INS)
         + f"""select order_item_id, item_price, returned, {MEAN} as score
 from stand_ins where not is_unknown""",
@@ -417,7 +487,7 @@ def all_sql() -> dict[str, str]:
         "csv_roundtrip": _with(PRICED)
         + f"""select order_item_id, order_date, delivery_date, item_id, item_size, item_color, brand_id,
   item_price, user_id, user_dob, user_reg_date, returned, {DELIVERED}, {TAU} as stored_score
-from priced where not is_unknown""",
+from priced""",
         "rekey_unknown": _with()
         + """select order_item_id, item_id * 2 + 2 as item_id, brand_id + 100 as brand_id
 from sales where is_unknown""",
@@ -427,9 +497,11 @@ from sales where is_unknown""",
         "feature_table": _table(Support()),
         "feature_table_hot_groups": _table(MIXED),
         "feature_table_large_catalogue": _table(MIXED),
+        "feature_table_gaps": _gaps(),
         "feature_table_two_files": _table(MIXED, rekeyed=True),
         **_encoders(),
         **_features(),
         **_models(),
+        **_stumps(),
         **_decisions(),
     }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,8 @@ FOLD_SEED, STRATIFIED_SEED, HOLDOUT_SEED = 7, 1001, 11
 # Thresholds at which supported and unsupported keys both occur at sf0.01.
 MIXED = features.Support(brand=1600, item=20, user=26, price=387, pair=3)
 STAND_INS = ["ce_brand", "ce_user", "ce_price"]
+DEAR = 53
+FLAGS = ["was_delivered", "is_discounted", *[f"type_{t}" for t in features.ITEM_TYPES]]
 # Small settings of the slow learners, so that a check ends in good time.
 QUICK = {"trees": 5, "depth": 4, "epochs": 2}
 
@@ -45,18 +48,28 @@ def stack_splits(spark, sf_dir):
     return stacked.select(ID, "item_id", "returned", "is_unknown")
 
 
-def csv_roundtrip(spark, sf_dir):
-    """Orders, features and predictions through files and back."""
-    known, _ = tables.split(sales(spark, sf_dir))
+def _order_files(spark, sf_dir):
+    """Both splits written as order files and read again, the second without labels."""
+    known, unknown = tables.split(sales(spark, sf_dir))
     empty = {"user_title": F.lit(None).cast("string"), "user_state": F.lit(None).cast("string")}
-    paths = [scratch_path(spark, name) for name in ("orders", "features", "predictions")]
-    known.withColumns(empty).select(*orders.ORDER_SCHEMA.names).write.option("header", True).csv(paths[0])
-    raw = orders.read_orders(spark, paths[0])
-    orders.write_features(features.was_delivered(features.rounded_price(raw)), paths[1])
-    table = orders.read_features(spark, paths[1])
+    read = []
+    for rows, schema in ((known, orders.ORDER_SCHEMA), (unknown, orders.UNLABELLED_SCHEMA)):
+        path = scratch_path(spark, "orders")
+        rows.withColumns(empty).select(*schema.names).write.option("header", True).csv(path)
+        read.append(orders.read_orders(spark, path, schema))
+    return read
+
+
+def csv_roundtrip(spark, sf_dir):
+    """Orders of both files, features and predictions through files and back."""
+    known, unknown = _order_files(spark, sf_dir)
+    paths = [scratch_path(spark, name) for name in ("features", "predictions")]
+    raw = known.unionByName(unknown, allowMissingColumns=True)
+    orders.write_features(features.was_delivered(features.rounded_price(raw)), paths[0])
+    table = orders.read_features(spark, paths[0])
     scored = decisions.with_tau(table).withColumnRenamed("tau", "score")
-    orders.write_predictions(scored, paths[2])
-    back = orders.read_predictions(spark, paths[2]).withColumnRenamed("score", "stored_score")
+    orders.write_predictions(scored, paths[1])
+    back = orders.read_predictions(spark, paths[1]).withColumnRenamed("score", "stored_score")
     kept = table.select(
         ID, "order_date", "delivery_date", "item_id", "item_size", "item_color", "brand_id",
         "item_price", "user_id", "user_dob", "user_reg_date", "returned", "was_delivered",
@@ -115,10 +128,22 @@ def feature_table_large_catalogue(spark, sf_dir):
 
 
 def feature_table_two_files(spark, sf_dir):
-    known, unknown = tables.split(sales(spark, sf_dir))
+    known, unknown = _order_files(spark, sf_dir)
     return build_features(known, unknown, FeatureConfig(support=MIXED))
 
 
+def feature_table_gaps(spark, sf_dir):
+    """Group values of rows that lack an item, a user, a price, a size or a colour."""
+    rows = sales(spark, sf_dir)
+    gaps = {"item_id": 11, "user_id": 13, "item_price": 5, "item_size": 7, "item_color": 17}
+    lacking = rows.withColumns({c: F.when(F.col(ID) % n != 0, F.col(c)) for c, n in gaps.items()})
+    table = build_features_stacked(lacking, FeatureConfig(support=MIXED))
+    return table.select(
+        ID, "is_discounted", "ce_item", "ce_user", "size_item_ce", "colour_item_ce", "count_user", "customer_value",
+        *[f"type_{t}" for t in features.ITEM_TYPES],
+    )
+
+
 def date_parts(spark, sf_dir):
     rows = _rows(spark, sf_dir, "order_date", "user_reg_date")
     texts = rows.select(ID, *[F.col(c).cast("string").alias(c) for c in ("order_date", "user_reg_date")])
@@ -191,6 +216,13 @@ def auc(spark, sf_dir):
     return metrics.auc(_user_scored(spark, sf_dir).where("not is_unknown"))
 
 
+def auc_gaps(spark, sf_dir):
+    """Rows without a score, or with one that is no number, are left out."""
+    known = _user_scored(spark, sf_dir).where("not is_unknown")
+    gaps = F.when(F.col(ID) % 10 == 0, None).when(F.col(ID) % 10 == 1, F.lit(float("nan"))).otherwise(F.col("score"))
+    return metrics.auc(known.withColumn("score", gaps))
+
+
 def auc_by_model(spark, sf_dir):
     return metrics.auc(_known_long(spark, sf_dir), by=["fold", "model"])
 
@@ -232,8 +264,10 @@ def greedy_ensemble(spark, sf_dir):
 
 
 def fold_average(spark, sf_dir):
-    unknown = _stand_in_scores(spark, sf_dir).where("is_unknown")
-    mean = ensemble.average_folds(_long(unknown))
+    """Unknown rows as scored by the models of ten folds, each a little apart."""
+    unknown = _stand_in_scores(spark, sf_dir).where("is_unknown").select(ID, F.col("ce_user").alias("score"))
+    by_fold = unknown.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(9))))
+    mean = ensemble.average_folds(by_fold.withColumn("score", F.col("score") + (F.col("fold") - 4) / 100))
     return mean.select(ID, F.round("score", 10).alias("score"))
 
 
@@ -253,6 +287,12 @@ def warn(spark, sf_dir):
     return _decided(spark, sf_dir).select(ID, "warn")
 
 
+def warn_negative_prices(spark, sf_dir):
+    """Prices lowered by 40; at -10 there is no break-even point and no warning."""
+    lowered = _user_scored(spark, sf_dir).withColumn("item_price", F.col("item_price") - 40)
+    return decisions.warn(lowered).select(ID, "warn")
+
+
 def count_warned(spark, sf_dir):
     return tables.count_flagged(_decided(spark, sf_dir), "warn", "n_warned")
 
@@ -311,7 +351,7 @@ def _training(spark, sf_dir, k=3):
 
 
 def _model_scores(cfg):
-    """Scores of the last fold's rows and of all unknown rows."""
+    """Scores of the first fold's rows and of all unknown rows."""
 
     def query(spark, sf_dir):
         train, unknown = _training(spark, sf_dir)
@@ -322,11 +362,61 @@ def _model_scores(cfg):
     return query
 
 
+def _binary_features(spark, sf_dir, label="returned"):
+    """Flags of every row, assembled into a vector; ``dear`` is a second label,
+    whose sides differ by majority (the forest merges leaves that agree)."""
+    rows = sales(spark, sf_dir, ID, "is_unknown", "returned", "item_id", "item_price", "item_size", "delivery_date")
+    flagged = features.is_discounted(features.was_delivered(features.rounded_price(rows)))
+    typed = features.type_dummies(features.classify_items(_sized(flagged)))
+    dear = F.when(F.col("item_price") >= DEAR, 1).otherwise(0)
+    return models.assemble(typed.withColumn("dear", dear), FLAGS, label)
+
+
+def assembled_vectors(spark, sf_dir):
+    """The vector of each row, taken apart again."""
+    values = vector_to_array("features")
+    table = _binary_features(spark, sf_dir).where("not is_unknown")
+    return table.select(ID, "label", *[values[i].alias(c) for i, c in enumerate(FLAGS)])
+
+
+def _stump(spark, sf_dir, est, label):
+    table = settle(_binary_features(spark, sf_dir, label), "flags")
+    return est.fit(table.where("not is_unknown")), table
+
+
+def forest_stump(spark, sf_dir):
+    """One tree of one split, on all rows: the best split by impurity, scored by its leaves."""
+    est = models.forest(models.ForestConfig(trees=1, depth=1, columns="all")).setBootstrap(False)
+    model, table = _stump(spark, sf_dir, est, "dear")
+    return models.score(lambda df: models.class_one(model, df), table, ID).withColumn("score", F.round("score", 10))
+
+
+def boosted_stump(spark, sf_dir):
+    """One boosting step of one split: leaves hold means of -1 and 1, scores follow by the logistic link."""
+    cfg = models.GbtConfig(trees=1, depth=1, row_sample=1.0, column_sample=1.0)
+    model, table = _stump(spark, sf_dir, models.gbt(cfg), "returned")
+    return models.score(lambda df: models.class_one(model, df), table, ID).withColumn("score", F.round("score", 10))
+
+
+def stump_importance(spark, sf_dir):
+    est = models.forest(models.ForestConfig(trees=1, depth=1, columns="all")).setBootstrap(False)
+    return models.importance(_stump(spark, sf_dir, est, "dear")[0], FLAGS, 1)
+
+
 def random_search(spark, sf_dir):
+    """Both tree families over five stratified folds; few draws of small trees."""
     train, _ = _training(spark, sf_dir)
-    space = {"maxDepth": [2, 3, 4], "minInstancesPerNode": [2, 4]}
-    est = models.forest(models.ForestConfig(trees=QUICK["trees"]))
-    return search.random_search(est, space, train, n_iter=3, folds=3)[2]
+    train = settle(folds.stratified_folds(train.drop("fold"), k=5, seed=STRATIFIED_SEED), "stratified")
+    space = {"maxDepth": [2, 4], "minInstancesPerNode": [2, 4]}
+    families = {
+        "forest": models.forest(models.ForestConfig(trees=QUICK["trees"])),
+        "boosted": models.gbt(models.GbtConfig(trees=QUICK["trees"])),
+    }
+    found = [
+        search.random_search(est, space, train, n_iter=2, folds=5)[2].withColumn("family", F.lit(name))
+        for name, est in families.items()
+    ]
+    return found[0].unionByName(found[1])
 
 
 def feature_importance(spark, sf_dir):
@@ -419,11 +509,12 @@ def _feature_queries() -> dict[str, Query]:
 def all_queries() -> dict[str, Query]:
     direct = [
         stack_splits, csv_roundtrip, rekey_unknown, feature_table, feature_table_hot_groups,
-        feature_table_large_catalogue, feature_table_two_files, date_parts, kfold_assign, stratified_folds, holdout, roc_curve,
-        auc, auc_by_model, best_model, best_fold, mean_ensemble, merged_scores, mean_ensemble_auc,
-        greedy_ensemble, fold_average, out_of_fold, tau, warn, count_warned, revenue, error_cost,
+        feature_table_large_catalogue, feature_table_two_files, feature_table_gaps, date_parts, kfold_assign, stratified_folds, holdout, roc_curve,
+        auc, auc_gaps, auc_by_model, best_model, best_fold, mean_ensemble, merged_scores, mean_ensemble_auc,
+        greedy_ensemble, fold_average, out_of_fold, tau, warn, warn_negative_prices, count_warned, revenue, error_cost,
         head_rows, revenue_sweep, cost_sweep, best_multiplier, best_cost_multiplier, calibration,
-        decide_unknown, cost_summary, confusion, random_search, feature_importance, model_zoo,
+        decide_unknown, cost_summary, confusion, assembled_vectors, forest_stump, boosted_stump, stump_importance,
+        random_search, feature_importance, model_zoo,
         zoo_submission,
     ]
     learners = {

@@ -34,8 +34,9 @@ def missed_return(price: Column | str) -> Column:
 
 
 def tau(price: Column | str = "item_price") -> Column:
-    """Score at which warning and not warning cost the same."""
-    return lost_sale(price) / (lost_sale(price) + missed_return(price))
+    """Score at which warning and not warning cost the same; null where there
+    is none, at the negative price whose two costs cancel out."""
+    return lost_sale(price) / F.nullif(lost_sale(price) + missed_return(price), F.lit(0.0))
 
 
 def with_tau(df: DataFrame) -> DataFrame:
@@ -149,9 +150,12 @@ def cost_sweep(df: DataFrame) -> DataFrame:
 
 
 def decide(features: DataFrame, predictions: DataFrame, m: float = 1.0) -> DataFrame:
-    """``order_item_id, warn`` for every prediction; both inputs have one row an id."""
+    """``order_item_id, warn`` for every prediction; both inputs have one row an id.
+
+    A prediction without a feature row has no price and is not warned about.
+    """
     priced = features.select("order_item_id", "item_price")
-    scored = predictions.select("order_item_id", "score").join(priced, "order_item_id")
+    scored = predictions.select("order_item_id", "score").join(priced, "order_item_id", "left")
     return warn(scored, m).select("order_item_id", "warn")
 
 

@@ -47,6 +47,10 @@ class TargetEncoder:
         value = F.coalesce(rate, F.lit(self.prior))
         return F.when(usable, round_half_even(value, self.out_digits))
 
+    def unseen(self) -> Column:
+        """The encoding of a key that was never counted."""
+        return self._finish(F.lit(None).cast("double"))
+
     def from_sums(self, df: DataFrame, support: str, returns: str) -> DataFrame:
         """Encode rows that already carry their key's labelled rows and returns."""
         rate = self._rate(F.col(support), F.col(returns))

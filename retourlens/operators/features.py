@@ -28,6 +28,8 @@ from retourlens.operators.grouping import Form, GroupStep, Joined
 
 # Size ranges that tell item types apart, stand-ins for gaps.
 ITEM_TYPES = (1, 2, 3, 4, 5, 6, 7)
+# Items whose sizes tell nothing else.
+OTHER_TYPE = 2
 SMALL_MIN, SMALL_MAX = 15, 25
 TROUSER_MIN = 2000
 CHILD_MIN, CHILD_MAX = 80, 200
@@ -159,7 +161,7 @@ def item_type_step() -> GroupStep:
         F.when(F.col("__half"), 1)
         .when(F.col("__digits"), numeric)
         .when(F.col("__unsized"), 7)
-        .otherwise(2)
+        .otherwise(OTHER_TYPE)
     )
 
     def finish(df: DataFrame) -> DataFrame:

@@ -64,6 +64,20 @@ class Windowed:
         return df.withColumn(name, F.when(all_present([*keys, date]), gap))
 
 
+@dataclass(frozen=True)
+class Absent(Windowed):
+    """The form for rows without a key: every group value is null, nothing moves."""
+
+    def values(self, df: DataFrame, keys: Sequence[str], values: dict[str, Column]) -> DataFrame:
+        kinds = df.groupBy().agg(*[v.alias(n) for n, v in values.items()]).schema
+        return df.withColumns({k.name: F.lit(None).cast(k.dataType) for k in kinds})
+
+    def days_since_previous(
+        self, df: DataFrame, keys: Sequence[str], date: str, default: int, name: str
+    ) -> DataFrame:
+        return df.withColumn(name, F.lit(None).cast("int"))
+
+
 @dataclass(frozen=True)
 class Joined:
     """Group values by aggregation and a join back.
@@ -124,8 +138,11 @@ def run_steps(df: DataFrame, steps: Sequence[GroupStep], form: Form) -> DataFram
 
 
 def hot_keys(df: DataFrame, key: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Keys with more rows than one task should hold; at most rows / max_rows."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
+    """Keys with more rows than one task should hold; at most rows / max_rows.
+
+    Null is among them where so many rows have no key.
+    """
+    counts = df.groupBy(key).agg(F.count("*").alias("rows"))
     return counts.where(F.col("rows") > max_rows).select(key)
 
 
@@ -137,14 +154,22 @@ def per_group(
     source: DataFrame | None = None,
 ) -> DataFrame:
     """``build(rows, form)`` over all rows: joined for the ``hot`` keys, which
-    should be a settled table, windowed for the others.
+    should be a settled table, windowed for the others. If null is hot, rows
+    without a key are built apart, without a shuffle.
 
     ``source`` is what the joined form aggregates, ``df`` itself if not given.
-    Its hot rows are written out once, since every aggregate reads them anew.
+    Its hot rows are written out once, since every aggregate reads them anew;
+    so is a ``df`` beside a source, which the split would work out twice.
     """
     if hot.isEmpty():
         return build(df, Windowed())
+    if not hot.where(F.col(key).isNull()).isEmpty():
+        keyed, others = F.col(key).isNotNull(), hot.dropna()
+        apart = build(df.where(~keyed), Absent())
+        return per_group(df.where(keyed), key, build, others, source).unionByName(apart)
     rows = df if source is None else source
+    if source is not None:
+        df = settle(df, f"rows-before-{key}")
     crowd = settle(rows.join(hot, key, "left_semi"), f"rows-of-hot-{key}")
     small = build(df.join(hot, key, "left_anti"), Windowed())
     large = build(crowd if source is None else df.join(hot, key, "left_semi"), Joined(crowd))

@@ -1,4 +1,8 @@
-"""Raw order items to the model's feature table, as one lazy plan."""
+"""Raw order items to the model's feature table.
+
+Building the plan runs a few jobs that settle small tables; the rows themselves
+move when the result is used.
+"""
 
 from __future__ import annotations
 
@@ -97,7 +101,9 @@ def build_features_stacked(sales: DataFrame, config: FeatureConfig = FeatureConf
     else:
         # Items with many rows follow from the sums; no second scan is needed.
         counts = ready["sizes"].groupBy("item_id").agg(F.sum("__rows").alias("rows"))
-        hot = settle(counts.where(F.col("rows") > limit).select("item_id"), "items")
+        without = rows.where(F.col("item_id").isNull()).select("item_id")
+        crowded = without.groupBy("item_id").agg(F.count("*").alias("rows"))
+        hot = settle(counts.union(crowded).where(F.col("rows") > limit).select("item_id"), "items")
         out = per_group(out, "item_id", _per_item(support), hot, items)
     out = price.transform(brand.transform(out, ready["brand"]), ready["price"])
     out = f.new_user(f.type_dummies(out))

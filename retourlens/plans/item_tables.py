@@ -15,7 +15,8 @@ from retourlens.operators import features as f
 from retourlens.operators.encoders import RobustScaler
 from retourlens.operators.grouping import GroupStep, Windowed, attach, run_steps
 
-ROW_BYTES = 96
+# Key row, value row and slot of one entry, without its texts.
+ROW_BYTES = 224
 COUNTED = ("__known", "__returns")
 
 
@@ -29,7 +30,9 @@ def _sums(rows: DataFrame, part: str, **more) -> DataFrame:
 
 def size_sums(rows: DataFrame) -> DataFrame:
     """Expects the rounded price and the normalised size text."""
-    return _sums(rows, "item_size", __rows=F.count("*"), __price=F.sum("item_price"))
+    return _sums(
+        rows, "item_size", __rows=F.count("*"), __price=F.sum("item_price"), __prices=F.count("item_price")
+    )
 
 
 def colour_sums(rows: DataFrame) -> DataFrame:
@@ -38,9 +41,12 @@ def colour_sums(rows: DataFrame) -> DataFrame:
 
 
 def broadcast_bytes(sums: DataFrame, part: str) -> int:
-    """Upper estimate of a settled table's size in memory, from its contents."""
-    text = F.coalesce(F.sum(F.octet_length(part)), F.lit(0))
-    return sums.select(F.count("*") * ROW_BYTES + text).first()[0]
+    """Upper estimate of a settled table's size as a hashed relation.
+
+    It holds a key row and a value row with the text in both, each padded.
+    """
+    text = F.coalesce(F.sum(F.octet_length(part) + 8), F.lit(0))
+    return sums.select(F.count("*") * ROW_BYTES + 2 * text).first()[0]
 
 
 def size_table(sums: DataFrame, support: f.Support) -> DataFrame:
@@ -48,7 +54,7 @@ def size_table(sums: DataFrame, support: f.Support) -> DataFrame:
 
     Windows are safe here: no group is larger than the table itself.
     """
-    totals = {"__all_price": F.sum("__price"), "__all_rows": F.sum("__rows")}
+    totals = {"__all_price": F.sum("__price"), "__all_prices": F.sum("__prices")}
     steps = [
         GroupStep(["item_id"], totals),
         f.item_encoder(support).step(COUNTED),
@@ -62,7 +68,7 @@ def size_table(sums: DataFrame, support: f.Support) -> DataFrame:
         "item_id",
         F.col("__text").alias("item_size"),
         F.col("item_size").alias("__size"),
-        (F.col("__all_price") / F.col("__all_rows")).alias("__mean_price"),
+        (F.col("__all_price") / F.nullif("__all_prices", F.lit(0))).alias("__mean_price"),
         "ce_item",
         "type",
         "size_item_ce",
@@ -75,9 +81,20 @@ def colour_table(sums: DataFrame, support: f.Support) -> DataFrame:
 
 
 def attach_items(df: DataFrame, sizes: DataFrame, colours: DataFrame, support: f.Support) -> DataFrame:
-    """Add all item features; both sums must be small enough to broadcast."""
+    """Add all item features; both sums must be small enough to broadcast.
+
+    Rows without an item are in no table and get what other forms give to a
+    group without values.
+    """
     by_size = F.broadcast(size_table(sizes, support))
     by_colour = F.broadcast(colour_table(colours, support))
     df = attach(df, by_size, ["item_id", "item_size"], null_safe=["item_size"])
     df = attach(df, by_colour, ["item_id", "item_color"])
+    no_item = F.col("item_id").isNull()
+    df = df.withColumns(
+        {
+            "type": F.when(no_item, F.lit(f.OTHER_TYPE)).otherwise(F.col("type")),
+            "ce_item": F.when(no_item, f.item_encoder(support).unseen()).otherwise(F.col("ce_item")),
+        }
+    )
     return f.flag_discount(df.drop("item_size").withColumnRenamed("__size", "item_size"))

@@ -38,7 +38,8 @@ def _scan(spark: SparkSession, path: str, schema: T.StructType | None, fmt: str)
     if fmt == "csv":
         # enforceSchema off: a header that differs from the schema is an error,
         # not columns silently taken by position.
-        return reader.option("header", True).option("enforceSchema", False).csv(path)
+        # Malformed values are errors too, not nulls.
+        return reader.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
     return reader.format(fmt).load(path)
 
 

@@ -15,6 +15,21 @@ def test_tau(spark):
     assert got == [0, 0.5, pytest.approx(0.606061, abs=1e-6)]
 
 
+def test_costs_that_cancel_out(spark):
+    """At a price of -10 no score is the break-even point, so there is no warning."""
+    df = spark.createDataFrame([(1, -10.0, 0.9), (0, -10.0, -1.0), (1, 30.0, 0.9)], SCHEMA)
+    assert sorted((r["item_price"], r["tau"], r["warn"]) for r in d.warn(df).collect()) == sorted(
+        [(-10.0, None, 0), (-10.0, None, 0), (30.0, 0.5, 1)], key=lambda t: t[0]
+    )
+    assert d.revenue_sweep(df).count() == 100
+
+
+def test_every_prediction_is_decided(spark):
+    priced = spark.createDataFrame([(1, 30.0)], "order_item_id long, item_price double")
+    scores = spark.createDataFrame([(1, 0.9), (2, 0.9)], "order_item_id long, score double")
+    assert sorted(map(tuple, d.decide(priced, scores).collect())) == [(1, 1), (2, 0)]
+
+
 def test_four_outcomes(spark):
     rows = [(1, 0.4), (0, 0.5), (1, 0.6), (0, 0.4)]
     df = spark.createDataFrame([(y, 30.0, s) for y, s in rows], SCHEMA)

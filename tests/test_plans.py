@@ -5,11 +5,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.queries import MIXED, all_queries
+from retourlens.operators.grouping import hot_keys, per_group
+from retourlens.plans import training
 from retourlens.plans.feature_table import FEATURES, FeatureConfig, build_features_stacked
+from retourlens.session import settle
 from retourlens.sources.sales import sales
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
-LEARNERS = {"random_search", "feature_importance", "model_zoo", "zoo_submission"}
+LEARNERS = {
+    "random_search", "feature_importance", "model_zoo", "zoo_submission", "forest_stump", "boosted_stump",
+    "stump_importance",
+}
 
 # Column totals of the whole feature table at sf0.01.
 TOTALS = {
@@ -62,6 +68,49 @@ def test_missing_sizes_and_colours_agree(spark):
     assert joined.where("item_size is null and size_item_ce is null and type_1 is not null").count() > 0
 
 
+GAPS = {
+    **{c: (c,) for c in ("item_id", "user_id", "brand_id", "item_price", "item_size", "item_color")},
+    "all": ("item_id", "user_id", "brand_id", "item_price", "item_size", "item_color"),
+}
+
+
+@needs_data
+@pytest.mark.parametrize("gap", GAPS)
+def test_nulls_give_one_answer_in_every_form(spark, gap):
+    """A fifth of a column null; small limits make keys, null among them, hot."""
+    lacking = {c: F.when(F.col("order_item_id") % (5 + i) != 0, F.col(c)) for i, c in enumerate(GAPS[gap])}
+    rows = settle(sales(spark, SMALL).withColumns(lacking), "gaps")
+    forms = {
+        "broadcast": FeatureConfig(MIXED),
+        "windowed": FeatureConfig(MIXED, max_item_bytes=0),
+        "hot": FeatureConfig(MIXED, max_group_rows=30, max_item_bytes=0),
+    }
+    tables = {n: settle(build_features_stacked(rows, c), n) for n, c in forms.items()}
+    first = tables.pop("broadcast")
+    assert first.count() == rows.count()
+    for other in tables.values():
+        assert other.exceptAll(first).isEmpty() and first.exceptAll(other).isEmpty()
+
+
+@needs_data
+def test_a_hot_null_is_not_put_into_a_window(spark):
+    rows = sales(spark, SMALL).withColumn("user_id", F.when(F.col("order_item_id") % 3 == 0, F.col("user_id")))
+    hot = hot_keys(rows, "user_id", 1000)
+    assert [tuple(r) for r in hot.collect()] == [(None,)]
+    seen = []
+    per_group(rows, "user_id", lambda df, form: seen.append(type(form).__name__) or df, hot)
+    assert sorted(seen) == ["Absent", "Windowed"]
+
+
+@needs_data
+def test_fits_read_only_their_folds(spark):
+    train, unknown = training.training_tables(build_features_stacked(sales(spark, SMALL)), 3)
+    text = plan(train.where("fold != 1"))
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", text)[1]
+    assert "fold" in filters and "is_unknown" in filters
+    assert unknown.columns == ["order_item_id", "item_price", "features"] and unknown.count() > 0
+
+
 @needs_data
 def test_rows_move_to_users_and_a_large_catalogue_to_items(spark):
     """The adapter itself shuffles by order, once."""

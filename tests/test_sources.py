@@ -29,6 +29,22 @@ def test_wrong_header_is_an_error(spark):
         orders.read_orders(spark, path).collect()
 
 
+@pytest.mark.parametrize("column, value", [("item_price", "12x"), ("item_id", "ten"), ("order_date", "soon")])
+def test_malformed_values_are_errors(spark, column, value):
+    path = scratch_path(spark, "orders")
+    df = spark.createDataFrame([order(1)], orders.ORDER_SCHEMA)
+    df.withColumn(column, F.lit(value)).write.option("header", True).csv(path)
+    with pytest.raises(Exception, match="(?i)malformed|failfast"):
+        orders.read_orders(spark, path).collect()
+
+
+def test_unlabelled_orders_through_csv(spark):
+    df = spark.createDataFrame([order(1)[:-1]], orders.UNLABELLED_SCHEMA)
+    path = scratch_path(spark, "orders")
+    df.write.option("header", True).csv(path)
+    assert orders.read_orders(spark, path, orders.UNLABELLED_SCHEMA).collect() == df.collect()
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet", "orc"])
 def test_features_and_predictions(spark, fmt):
     df = spark.range(3).select(F.col("id").alias("order_item_id"), (F.col("id") / 4).alias("p"))

@@ -5,14 +5,14 @@ threshold. Equal shingle sets are one set first. In one order of all shingles,
 frequent ones last, two linked sets share a shingle of their short prefixes, so
 only prefixes travel.
 
-Similar sets are partitioned into groups: each set is compared with a hub of
-the prefix buckets it is in, and those that link make up a group. A matrix
-holds, for every group, the union of its prefix shingles. A set of another
-group is bound against it: from the number of its prefix shingles in the union
-follows the most that it can have in common with any member. Only groups that
-qualify are opened; there the union of the whole sets bounds again before
-members are compared exactly. Sets already in one class are not compared any
-more, so a group of n near copies never takes n * n steps.
+Similar sets are partitioned into groups: a set joins the hub that it meets in
+most of its prefix buckets. A matrix holds, for every part of a group, the union
+of the prefix shingles of its members. A set of another group is bound against
+it: from the number of its prefix shingles in the union follows the most that it
+can have in common with any member. Only parts that qualify are opened; there
+the union of the whole sets bounds again before members are compared exactly.
+Within a group, sets are first compared with the hub; what that puts into one
+class is not compared any more.
 """
 
 from __future__ import annotations
@@ -156,55 +156,65 @@ def _shared_entries(sets: DataFrame, percent: int) -> DataFrame:
     """Prefix shingles that several sets have, each with the hub of its bucket.
 
     A bucket holds the sets with one shingle; those of frequent shingles are
-    dealt into parts of bounded size by the set's number, and the hubs of the
-    parts are linked below. The hub is the smallest set of like size.
+    dealt into pieces of bounded size by the set's number, and ``first`` is the
+    hub of the pieces' hubs. A hub is the first set of like size.
     """
     last = F.element_at("prefix", -1)
     rows = sets.select(
         "rid", "n", F.struct(last["power"].alias("power"), last["token"].alias("token")).alias("last"),
         F.size("prefix").alias("p"), F.explode("prefix").alias("e"),
     )
-    parts = F.greatest(F.lit(1), F.ceil(F.pow(2.0, F.col("e.power") + 1) / BUCKET_ROWS)).cast("int")
+    pieces = F.greatest(F.lit(1), F.ceil(F.pow(2.0, F.col("e.power") + 1) / BUCKET_ROWS)).cast("int")
     rows = rows.select(
-        F.col("e.token").alias("token"), parts.alias("parts"), F.pmod(F.xxhash64("rid"), parts).cast("int").alias("part"),
+        F.col("e.token").alias("token"), pieces.alias("pieces"), F.pmod(F.xxhash64("rid"), pieces).cast("int").alias("piece"),
         "rid", "n", "p", "last", F.floor(F.log("n") / math.log(100 / percent)).cast("int").alias("like"),
     )
-    bucket = W.partitionBy("token", "part")
-    found = rows.withColumn("sets", F.count("*").over(bucket)).where("sets > 1 or parts > 1").drop("sets")
-    hub = F.min(F.struct("n", "rid")).over(W.partitionBy("token", "part", "like"))
+    bucket = W.partitionBy("token", "piece")
+    found = rows.withColumn("sets", F.count("*").over(bucket)).where("sets > 1 or pieces > 1").drop("sets")
+    hub = F.min(F.struct("rid", "n")).over(W.partitionBy("token", "piece", "like"))
     return settle(found.withColumn("hub", hub), "jaccard-entries")
 
 
-def _star_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """(rid, hub): the two hubs each set meets in most buckets, if of fitting size."""
-    own = entries.where("rid <> hub.rid").select("rid", "n", "p", F.col("hub.rid").alias("hub"), F.col("hub.n").alias("hub_n"))
-    across = W.partitionBy("token", "like")
-    hubs = entries.where("parts > 1 and rid = hub.rid").withColumn("first", F.min(F.struct("n", "rid")).over(across))
-    more = hubs.where("rid <> first.rid").select("rid", "n", "p", F.col("first.rid").alias("hub"), F.col("first.n").alias("hub_n"))
-    fits = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
-    met = own.union(more).where(fits).groupBy("rid", "hub").agg(F.count("*").alias("met"), F.first("p").alias("p"))
-    best = W.partitionBy("rid").orderBy(F.col("met").desc(), "hub")
-    return met.where("10 * met >= p").withColumn("place", F.row_number().over(best)).where("place <= 2").select("rid", "hub")
+def _groups(entries: DataFrame, percent: int) -> DataFrame:
+    """(rid, grp) of all sets with shared shingles: the hub met in most buckets, or the set itself.
 
-
-def _qualifying(entries: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(comp, part, rid) of queries that a group's part may link to, and of the parts' members."""
-    sized = classes.groupBy("comp").agg(F.count("*").alias("members"))
-    placed = classes.join(sized, "comp").withColumn(
-        "piece", F.pmod(F.xxhash64("rid"), F.ceil(F.col("members") / PART_MEMBERS)).cast("int")
-    )
-    rows = entries.select("token", "rid", "n", "last").join(placed, "rid")
-    matrix = rows.groupBy("token", "comp", "piece", "members").agg(F.lit(1).alias("one"))
-    bounds = rows.groupBy("comp", "piece").agg(
+    A hub stays in its own group. Which group a set is in changes no result.
+    """
+    own = entries.where("rid <> hub.rid").select("rid", "n", "p", "hub")
+    hubs = entries.where("pieces > 1 and rid = hub.rid")
+    hubs = hubs.withColumn("hub", F.min(F.struct("rid", "n")).over(W.partitionBy("token", "like")))
+    met = own.union(hubs.where("rid <> hub.rid").select("rid", "n", "p", "hub"))
+    fits = 100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n")
+    counted = met.where(fits).groupBy("rid", F.col("hub.rid").alias("hub")).agg(F.count("*").alias("met"), F.first("p").alias("p"))
+    most = F.min(F.struct((-F.col("met")).alias("met"), "hub"))["hub"]
+    chosen = settle(counted.where("10 * met >= p").groupBy("rid").agg(most.alias("hub")), "jaccard-hubs")
+    all_hubs = chosen.select(F.col("hub").alias("rid")).distinct()
+    joined = chosen.join(all_hubs, "rid", "left_anti")
+    grouped = entries.select("rid").distinct().join(joined, "rid", "left")
+    return settle(grouped.select("rid", F.coalesce("hub", "rid").alias("grp")), "jaccard-groups")
+
+
+def _parts(members: DataFrame, *keys: str) -> DataFrame:
+    """``members`` with the part (``piece`` and how many there are) of their group that they are in."""
+    sizes = members.groupBy(*keys).agg(F.count("*").alias("members"))
+    piece = F.pmod(F.xxhash64("rid"), F.ceil(F.col("members") / PART_MEMBERS)).cast("int")
+    return members.join(sizes, list(keys)).withColumn("piece", piece)
+
+
+def _other_groups(entries: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """(grp, piece, rid): sets that a part of another group qualifies for, by the matrix."""
+    rows = entries.select("token", "rid", "n", "last").join(_parts(groups, "grp"), "rid")
+    matrix = rows.select("token", "grp", "piece", "members").distinct()
+    bounds = rows.groupBy("grp", "piece").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.min("last").alias("first_last"), F.max("last").alias("last_last")
     )
     g, q = matrix.alias("g"), rows.alias("q")
     # Each two groups meet once: the smaller one asks.
     asks = (F.col("q.token") == F.col("g.token")) & (
-        F.struct(F.col("q.members"), F.col("q.comp")) < F.struct(F.col("g.members"), F.col("g.comp"))
+        F.struct(F.col("q.members"), F.col("q.grp")) < F.struct(F.col("g.members"), F.col("g.grp"))
     )
-    met = q.join(g, asks).groupBy("g.comp", "g.piece", "q.rid", "q.n", "q.last").agg(F.count("*").alias("shared"))
-    met = met.join(bounds, ["comp", "piece"])
+    met = q.join(g, asks).groupBy("g.grp", "g.piece", "q.rid", "q.n", "q.last").agg(F.count("*").alias("shared"))
+    met = met.join(bounds, ["grp", "piece"])
     n, low = F.col("n"), F.greatest(F.col("low"), least_own(F.col("n"), percent))
     high = F.least(F.col("high"), F.floor(100 * F.col("n") / F.lit(percent)).cast("long"))
     as_query = least_overlap(n, low, percent) - least_own(n, percent) + 1
@@ -214,54 +224,94 @@ def _qualifying(entries: DataFrame, classes: DataFrame, percent: int) -> tuple[D
         .when(F.col("last") > F.col("last_last"), as_member)
         .otherwise(F.least(as_query, as_member))
     )
-    queries = settle(met.where((low <= high) & (F.col("shared") >= need)).select("comp", "piece", "rid"), "jaccard-queries")
-    members = placed.select("comp", "piece", "rid").join(queries.select("comp", "piece").distinct(), ["comp", "piece"])
-    return queries, settle(members, "jaccard-members")
+    qualifying = met.where((low <= high) & (F.col("shared") >= need)).select("grp", "piece", "rid")
+    return settle(qualifying, "jaccard-asks")
+
+
+def _own_group(groups: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(grp, pool, piece, rid) of what is left to compare within groups, and of the parts' members.
 
+    A class has parts of its own, sets without links to their hub share parts.
+    Each two parts meet once, except two of one class.
+    """
+    several = groups.join(groups.groupBy("grp").count().where("count > 1").select("grp"), "grp", "left_semi")
+    pooled = several.join(near, several.rid == near.node, "left").select("grp", F.coalesce("root", F.lit(-1)).alias("pool"), "rid")
+    members = settle(_parts(pooled, "grp", "pool").select("grp", "pool", "piece", "rid"), "jaccard-parts")
+    part = members.select("grp", F.struct("pool", "piece").alias("part")).distinct()
+    pairs = part.alias("a").join(part.alias("b"), "grp").where("a.part <= b.part and (a.part.pool <> b.part.pool or a.part.pool = -1)")
+    pairs = pairs.select("grp", F.col("a.part").alias("part"), F.col("b.part.pool").alias("to_pool"), F.col("b.part.piece").alias("to_piece"))
+    asking = members.withColumn("part", F.struct("pool", "piece")).drop("pool", "piece").join(pairs, ["grp", "part"])
+    asks = asking.select("grp", F.col("to_pool").alias("pool"), F.col("to_piece").alias("piece"), "rid")
+    return settle(asks, "jaccard-own"), members
+
+
+def _open(members: DataFrame, asks: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): links between the sets that ask and members of the parts (grp, pool, piece) they ask.
 
-def _open(members: DataFrame, queries: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): for every query (comp, piece, rid) one member of the group's part that it links to, if any."""
-    keys = ["comp", "piece"]
-    blocks = queries.groupBy(*keys).agg(F.ceil(F.count("*") / PART_QUERIES).cast("int").alias("blocks"))
-    asking = queries.join(blocks, keys).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
+    As many as put all linked sets of a part and its askers into one class.
+    """
+    keys = ["grp", "pool", "piece"]
+    blocks = asks.groupBy(*keys).agg(F.ceil(F.count("*") / PART_QUERIES).cast("int").alias("blocks"))
+    asking = asks.join(blocks, keys).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
     held = members.join(blocks, keys).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     columns = [*keys, "block", "asks", "rid"]
     both = asking.withColumn("asks", F.lit(True)).select(columns).union(held.withColumn("asks", F.lit(False)).select(columns))
     placed = both.join(texts, "rid").repartition(*keys, "block").sortWithinPartitions(*keys, "block", "asks")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, sets, union, links = None, [], None, []
+        current, part, links = None, None, []
         for batch in batches:
-            for comp, piece, block, asks, rid, text in zip(*[batch[c] for c in (*columns, "text")]):
-                if (comp, piece, block) != current:
-                    current, sets, union = (comp, piece, block), [], None
-                own = shingles(text, words)
-                if not asks:
-                    sets.append((rid, own))
-                    continue
-                if union is None:
-                    union = np.unique(np.concatenate([s for _, s in sets])) if len(sets) > 1 else sets[0][1]
-                if 100 * _overlap(own, union) < percent * len(own):
-                    continue
-                for other, its in sets:
-                    if 100 * min(len(own), len(its)) < percent * max(len(own), len(its)):
-                        continue
-                    common = _overlap(own, its)
-                    if 100 * common >= percent * (len(own) + len(its) - common):
-                        links.append((rid, other))
-                        break
+            for grp, pool, piece, block, asks, rid, text in zip(*[batch[c] for c in (*columns, "text")]):
+                if (grp, pool, piece, block) != current:
+                    current, part = (grp, pool, piece, block), _Part(percent)
+                if asks:
+                    links += part.ask(rid, shingles(text, words))
+                else:
+                    part.add(rid, shingles(text, words))
             yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
             links = []
 
     return placed.select(*columns, "text").mapInPandas(compare, "a long, b long")
 
 
-def _overlap(first: np.ndarray, second: np.ndarray) -> int:
-    """Common elements of two sorted arrays of distinct numbers."""
-    if len(first) > len(second):
-        first, second = second, first
-    at = np.minimum(np.searchsorted(second, first), len(second) - 1)
-    return int((second[at] == first).sum()) if len(second) else 0
+class _Part:
+    """The whole sets of a part's members, as one sorted list of (shingle, member)."""
+
+    def __init__(self, percent: int):
+        self.percent, self.rids, self.sets, self.tokens = percent, [], [], None
+        self.roots: dict[int, int] = {}
+
+    def add(self, rid: int, own: np.ndarray) -> None:
+        self.rids.append(rid)
+        self.sets.append(own)
+
+    def _root(self, rid: int) -> int:
+        while (up := self.roots.get(rid, rid)) != rid:
+            rid = up
+        return rid
+
+    def ask(self, rid: int, own: np.ndarray) -> list[tuple[int, int]]:
+        """New links of a set to members it is not yet known to be in one class with."""
+        if self.tokens is None:
+            self.sizes = np.array([len(s) for s in self.sets])
+            tokens, owners = np.concatenate(self.sets), np.repeat(np.arange(len(self.sets)), self.sizes)
+            order = np.argsort(tokens, kind="stable")
+            self.tokens, self.owners = tokens[order], owners[order]
+        first, after = (np.searchsorted(self.tokens, own, side) for side in ("left", "right"))
+        held = after - first
+        # In common with the union of all members: the bound for each of them.
+        if 100 * np.count_nonzero(held) < self.percent * len(own):
+            return []
+        starts = np.repeat(first - np.concatenate(([0], np.cumsum(held)[:-1])), held)
+        common = np.bincount(self.owners[starts + np.arange(held.sum())], minlength=len(self.rids))
+        linked = 100 * common >= self.percent * (len(own) + self.sizes - common)
+        links = []
+        for at in np.flatnonzero(linked):
+            a, b = self._root(rid), self._root(self.rids[at])
+            if a != b:
+                self.roots[max(a, b)] = min(a, b)
+                links.append((rid, self.rids[at]))
+        return links
 
 
 def _texts(docs: DataFrame, text: str, id_column: str, sets: DataFrame, rids: DataFrame) -> DataFrame:
@@ -297,19 +347,19 @@ def link_classes(
     prefixes = rows.join(sets.select(F.col("rid").alias("row")), "row", "left_semi")
     entries = _shared_entries(prefixes.select(F.col("row").alias("rid"), "n", "prefix"), percent)
 
-    involved = entries.select("rid").distinct()
+    groups = _groups(entries, percent)
+    asks = _other_groups(entries, groups, percent).withColumn("pool", F.lit(-2).cast("long"))
+    asked = _parts(groups, "grp").select("grp", "piece", "rid").join(asks.select("grp", "piece").distinct(), ["grp", "piece"])
+    asked = settle(asked.withColumn("pool", F.lit(-2).cast("long")), "jaccard-asked")
+    stars = groups.where("rid <> grp").withColumns({"pool": F.lit(-2).cast("long"), "piece": F.lit(0)})
+    hubs = stars.select("grp", "pool", "piece", F.col("grp").alias("rid")).distinct()
+    involved = asks.select("rid").union(asked.select("rid")).union(stars.select("rid")).union(hubs.select("rid")).distinct()
     contents = _texts(docs, text, id_column, sets, involved)
-    stars = settle(_star_pairs(entries, percent), "jaccard-stars")
-    as_group = [F.col("hub").alias("comp"), F.lit(0).alias("piece")]
-    hubs = stars.select(*as_group, F.col("hub").alias("rid")).distinct()
-    near = settle(_open(hubs, stars.select(*as_group, "rid"), contents, words, percent), "jaccard-near")
-    grouped = settle(connected_components(near, "jaccard-near"), "jaccard-groups")
-    classes = involved.join(grouped.withColumnRenamed("node", "rid"), "rid", "left")
-    classes = settle(classes.select("rid", F.coalesce("root", "rid").alias("comp")), "jaccard-classes")
-
-    queries, members = _qualifying(entries, classes, percent)
-    found = settle(_open(members, queries, contents, words, percent), "jaccard-found")
-    links = near.union(found)
+
+    near = settle(_open(hubs, stars, contents, words, percent), "jaccard-near")
+    inner, members = _own_group(groups, settle(connected_components(near, "jaccard-near"), "jaccard-classes"))
+    found = [_open(asked, asks, contents, words, percent), _open(members, inner, contents, words, percent)]
+    links = settle(near.union(found[0]).union(found[1]), "jaccard-links")
     roots = settle(connected_components(links, "jaccard"), "jaccard-roots").withColumnRenamed("node", "rid")
     labelled = sets.join(roots, "rid", "left").withColumn("class_id", F.coalesce("root", "rid"))
     least = labelled.groupBy("class_id").agg(F.min("least").alias("component_id"))

@@ -37,6 +37,8 @@ from retourlens.session import settle
 FREQUENT = 100_000
 #: Shingles counted at once in a task, and how often one must occur there to be passed on.
 COUNT_AT_ONCE, LEAST_COUNT = 2_000_000, 4
+#: Words whose hashes a process remembers.
+CACHE_WORDS = 100_000
 #: Rows of a frequent shingle's bucket, members of a group's part, queries that meet it in one task.
 BUCKET_ROWS, PART_MEMBERS, PART_QUERIES = 4096, 128, 256
 
@@ -47,7 +49,7 @@ class _Words(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) >= CACHE_WORDS:
             self.clear()
         number = self[word] = xxhash.xxh3_64_intdigest(word)
         return number
@@ -204,19 +206,19 @@ def _parts(members: DataFrame, *keys: str) -> DataFrame:
 def _other_groups(entries: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """(grp, piece, rid): sets that a part of another group qualifies for, by the matrix."""
     rows = entries.select("token", "rid", "n", "last").join(_parts(groups, "grp"), "rid")
-    matrix = rows.select("token", "grp", "piece", "members").distinct()
     bounds = rows.groupBy("grp", "piece").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.min("last").alias("first_last"), F.max("last").alias("last_last")
     )
+    matrix = rows.select("token", "grp", "piece", "members").distinct().join(bounds, ["grp", "piece"])
     g, q = matrix.alias("g"), rows.alias("q")
-    # Each two groups meet once: the smaller one asks.
-    asks = (F.col("q.token") == F.col("g.token")) & (
+    n = F.col("n")
+    low, high = F.greatest("low", least_own(n, percent)), F.least("high", F.floor(100 * n / F.lit(percent)).cast("long"))
+    # Each two groups meet once: the smaller one asks, where some member's size can fit.
+    asks = (F.col("q.token") == F.col("g.token")) & (low <= high) & (
         F.struct(F.col("q.members"), F.col("q.grp")) < F.struct(F.col("g.members"), F.col("g.grp"))
     )
-    met = q.join(g, asks).groupBy("g.grp", "g.piece", "q.rid", "q.n", "q.last").agg(F.count("*").alias("shared"))
-    met = met.join(bounds, ["grp", "piece"])
-    n, low = F.col("n"), F.greatest(F.col("low"), least_own(F.col("n"), percent))
-    high = F.least(F.col("high"), F.floor(100 * F.col("n") / F.lit(percent)).cast("long"))
+    part = ["g.grp", "g.piece", "low", "high", "first_last", "last_last"]
+    met = q.join(g, asks).groupBy(*part, "q.rid", "q.n", "q.last").agg(F.count("*").alias("shared"))
     as_query = least_overlap(n, low, percent) - least_own(n, percent) + 1
     as_member = least_overlap(n, high, percent) - least_own(high, percent) + 1
     need = (
@@ -224,7 +226,7 @@ def _other_groups(entries: DataFrame, groups: DataFrame, percent: int) -> DataFr
         .when(F.col("last") > F.col("last_last"), as_member)
         .otherwise(F.least(as_query, as_member))
     )
-    qualifying = met.where((low <= high) & (F.col("shared") >= need)).select("grp", "piece", "rid")
+    qualifying = met.where(F.col("shared") >= need).select("grp", "piece", "rid")
     return settle(qualifying, "jaccard-asks")
 
 
@@ -315,8 +317,12 @@ class _Part:
 
 
 def _texts(docs: DataFrame, text: str, id_column: str, sets: DataFrame, rids: DataFrame) -> DataFrame:
-    """(rid, text) of some sets, from the row that stands for each."""
+    """(rid, text) of some sets, from the row that stands for each.
+
+    The list of sets grows with the input, so it is merged at every size.
+    """
     wanted = sets.join(rids, "rid").select("rid", F.col("id").alias("own_id"), F.col("text_key").alias("own_key"))
+    wanted = wanted.hint("merge")
     rows = docs.select(F.col(id_column).alias("id"), whole_text(text).alias("text")).withColumn("key", F.xxhash64("text"))
     same = (F.col("key") == F.col("own_key")) & F.col("id").eqNullSafe(F.col("own_id"))
     return settle(rows.join(wanted, same).select("rid", "text").dropDuplicates(["rid"]), "jaccard-texts")

@@ -36,10 +36,10 @@ UNSURE = 3
 #: Bytes of a run that are merged at once; longer runs are halved.
 LEAF_BYTES = 256
 #: Encoded words that a task remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 50_000
 #: Texts with more characters are cut into pieces of this size, encoded in parallel.
 PIECE_CHARS = 1 << 16
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def byte_letters() -> dict[str, int]:

@@ -350,7 +350,8 @@ def link_classes(
         .select("digest", F.col("s.row").alias("rid"), F.col("s.id").alias("id"), "s.text_key", "s.n", "least"),
         "jaccard-sets",
     )
-    prefixes = rows.join(sets.select(F.col("rid").alias("row")), "row", "left_semi")
+    # Merged at every size, as the sets grow with the input.
+    prefixes = rows.join(sets.select(F.col("rid").alias("row")).hint("merge"), "row", "left_semi")
     entries = _shared_entries(prefixes.select(F.col("row").alias("rid"), "n", "prefix"), percent)
 
     groups = _groups(entries, percent)

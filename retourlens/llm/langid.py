@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retourlens.llm.tables import free_name
+from retourlens.session import settle
 
 #: Hash buckets of character n-grams, and the longest n-gram.
 DIMS, LONGEST = 1 << 12, 3
@@ -141,7 +142,8 @@ def fit(
         frequency[gram] = n
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
 
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"))
+    # Written, so that Spark knows how small it is and leaves the texts where they are.
+    sizes = settle(rows.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
     sample = rows.join(sizes, "lang").where(place * F.col("rows") < sample_per_language).select("lang", "text")
 

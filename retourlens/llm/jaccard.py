@@ -119,6 +119,19 @@ def least_own(size: Column, percent: int) -> Column:
     return F.ceil(percent * size / F.lit(100)).cast("long")
 
 
+def _least_as_member(n: Column, low: Column, high: Column, percent: int) -> Column:
+    """The least of ``least_overlap(n, m) - least_own(m) + 1`` over the sizes m from ``low`` to ``high``.
+
+    Without rounding it falls with m, and both roundings together are less than
+    one off in each direction; so it is least within so many steps of ``high``.
+    """
+    steps = 100 * (100 + percent) // percent**2
+    need = lambda m: least_overlap(n, m, percent) - least_own(m, percent) + 1
+    if steps > 16:
+        return need(high) - 1
+    return F.least(need(high), *[need(F.greatest(low, high - step)) for step in range(1, steps + 1)])
+
+
 def _shingled(docs: DataFrame, text: str, id_column: str, words: int, percent: int, frequent) -> DataFrame:
     """Every row's id, text key, set size, set digest and prefix with the order's last key."""
     value = free_name(docs, "value")
@@ -220,7 +233,7 @@ def _other_groups(entries: DataFrame, groups: DataFrame, percent: int) -> DataFr
     part = ["g.grp", "g.piece", "low", "high", "first_last", "last_last"]
     met = q.join(g, asks).groupBy(*part, "q.rid", "q.n", "q.last").agg(F.count("*").alias("shared"))
     as_query = least_overlap(n, low, percent) - least_own(n, percent) + 1
-    as_member = least_overlap(n, high, percent) - least_own(high, percent) + 1
+    as_member = _least_as_member(n, low, high, percent)
     need = (
         F.when(F.col("last") <= F.col("first_last"), as_query)
         .when(F.col("last") > F.col("last_last"), as_member)

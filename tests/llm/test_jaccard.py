@@ -67,6 +67,31 @@ def test_classes_against_brute_force(spark, items, words, percent, frequent, mon
     assert rows(found, "id", "n_shingles", "component_id") == brute(items, words, percent)
 
 
+def test_part_whose_bound_is_least_below_its_largest_size(spark):
+    """A links to B of 93 shingles; C of 94 in one group with B alone would ask for one more of them."""
+    pool = sorted((f"w{n}" for n in range(94)), key=lambda w: jaccard.shingles(w, 1)[0])
+    rare, common, tail = pool[:5], pool[5:], [f"boilerplate{n}" for n in range(11)]
+    texts = [common + rare[:4], common + rare, common + tail]
+    texts += [tail + [f"other{n}x{m}" for m in range(60)] for n in range(20)]
+    items = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    found = jaccard.link_classes(documents(spark, [t for _, t in items]), words=1, percent=85)
+    got = rows(found, "id", "n_shingles", "component_id")
+    assert got == brute(items, 1, 85)
+    assert (2, 100, 0) in got
+
+
+@pytest.mark.parametrize("percent", [20, 35, 60, 80, 85, 100])
+def test_least_shared_prefix_over_sizes(spark, percent):
+    overlap = lambda n, m: -(-percent * (n + m) // (100 + percent))
+    own = lambda m: -(-percent * m // 100)
+    ranges = [(n, low, high) for n in range(1, 90, 4) for low in range(own(n), n + 1, 3) for high in range(low, 100 * n // percent + 1, 2)]
+    table = spark.createDataFrame(ranges, "n long, low long, high long")
+    n, low, high = (table[c] for c in table.columns)
+    for row in table.withColumn("need", jaccard._least_as_member(n, low, high, percent)).collect():
+        least = min(overlap(row["n"], m) - own(m) + 1 for m in range(row["low"], row["high"] + 1))
+        assert row["need"] == least if percent > 30 else least - 1 <= row["need"] <= least
+
+
 def test_one_of_each_class_stays(spark, items):
     docs = spark.createDataFrame([(i, t, "a") for i, t in items], "doc_id long, text string, row string")
     kept = jaccard.keep_one(docs)

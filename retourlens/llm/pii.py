@@ -37,10 +37,17 @@ CONTEXT = {
     "phone_local": ("phone", "tel", "call", "mobile", "fax", "telefon", "téléphone", "teléfono"),
 }
 AGAINST = ("version", "isbn", "order", "invoice", "serial", "example", "sku")
-# Characters of an account number by country.
+# Characters of an account number by country, as in the IBAN registry.
 IBAN_LENGTHS = {
-    "AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27,
-    "HU": 28, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24,
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29,
+    "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29,
+    "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28,
+    "HN": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20,
+    "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19,
+    "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29,
+    "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24,
+    "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+    "YE": 30,
 }
 
 # The patterns. Runs are possessive and start where a run starts, which finds the same
@@ -51,6 +58,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
+IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 LOCAL_PHONE = re.compile(r"(?<![0-9+(.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9-])")
 WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
@@ -107,13 +115,19 @@ def _phones(text: str) -> Iterator[tuple[int, int, bool]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int, bool]]:
-    for found in IBAN.finditer(text):
-        length, start, end = IBAN_LENGTHS.get(found[0][:2]), found.start(), found.end()
-        places = [i for i in range(start, end) if text[i] != " "]
-        if length is None or len(places) < length:
+    free = 0
+    # Every start is tried, as what follows an account or a failed start may be one too.
+    for begun in IBAN_START.finditer(text):
+        start, length = begun.start(), IBAN_LENGTHS.get(begun[0][:2])
+        found = IBAN.match(text, start) if length and start >= free else None
+        if not found:
+            continue
+        places = [i for i in range(start, found.end()) if text[i] != " "]
+        if len(places) < length:
             continue
         end = places[length - 1] + 1
         if (end == len(text) or not text[end].isalnum()) and mod97(text[start:end].replace(" ", "")):
+            free = end
             yield start, end, True
 
 

@@ -62,6 +62,33 @@ def test_kinds(text, kinds):
     assert [s.kind for s in pii.find_spans(text)] == kinds
 
 
+def account(country, own):
+    """An account number with the check digits that make it valid."""
+    turned = int("".join(str(int(c, 36)) for c in f"{own}{country}00"))
+    return f"{country}{98 - turned % 97:02d}{own}"
+
+
+@pytest.mark.parametrize("text, found", [
+    ("DE89370400440532013000 GB82WEST12345698765432", ["DE89370400440532013000", "GB82WEST12345698765432"]),
+    ("DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32", ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"]),
+    ("AB12 DE89370400440532013000", ["DE89370400440532013000"]),
+    ("DE12 DE89370400440532013000", ["DE89370400440532013000"]),
+    ("REF AB12 CODE NO15 GB82WEST12345698765432 PAID", ["GB82WEST12345698765432"]),
+    ("GB82WEST12345698765432 GB82WEST12345698765433", ["GB82WEST12345698765432"]),
+])
+def test_accounts_one_after_another(text, found):
+    assert [text[s.start : s.end] for s in pii.find_spans(text) if s.kind == "iban"] == found
+
+
+@pytest.mark.parametrize("country, length", [
+    ("SK", 24), ("RO", 24), ("BG", 22), ("HR", 21), ("SI", 19), ("EE", 20), ("LV", 21), ("LT", 20), ("MT", 31), ("CY", 28),
+    ("TR", 26), ("AE", 23), ("SA", 24), ("LC", 32), ("RU", 33), ("NO", 15),
+])
+def test_accounts_of_all_countries(country, length):
+    number = account(country, ("A1" + "7" * length)[: length - 4])
+    assert [s.kind for s in pii.find_spans(f"konto {number}.")].count("iban") == 1
+
+
 def test_context_raises_and_lowers_scores():
     score = lambda text: next(s.score for s in pii.find_spans(text) if s.kind == "ip")
     assert score("version 1.2.3.4") < score("see 1.2.3.4") < score("host 1.2.3.4")

@@ -26,15 +26,17 @@ from retourlens.session import settle
 BLOCK_ROWS, BLOCK_QUERIES = 8192, 256
 #: Slices left out of bitmap sums.
 LOW_SLICES = 2
-#: Components of this size or more would let scores leave 64 bits; such vectors take no part.
-TOO_LARGE = 1 << 24
+#: Vectors with a component of this size or more are kept in blocks of their own, of fewer rows.
+WIDE, WIDE_SHARE = 1 << 24, 4
+#: Components of this size or more are no 64-bit numbers; such vectors take no part.
+TOO_LARGE = 1 << 63
 INDEX = "block string, rows int, dims int, bits int, ids binary, lows binary, slices binary"
 
 
 def quantised(vector: Column, scale: float = 256.0) -> Column:
-    """floor(scale * x) of every component; null where one is null, not finite or too large."""
+    """floor(scale * x) of every component; null where one is null, not finite or beyond 64 bits."""
     values = F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double")))
-    sound = F.forall(vector, lambda x: F.coalesce(F.abs(F.lit(scale) * x.cast("double")) < TOO_LARGE, F.lit(False)))
+    sound = F.forall(vector, lambda x: F.coalesce(F.abs(F.lit(scale) * x.cast("double")) < float(TOO_LARGE), F.lit(False)))
     return F.when(sound, values)
 
 
@@ -42,7 +44,8 @@ def make_slices(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """(lows, slices, bits) of integer rows: bit b of ``row - lows`` in slices[:, b]."""
     rows, dims = values.shape
     lows = values.min(0)
-    raised = (values - lows).astype(np.uint64)
+    # Differences of 64-bit numbers fit unsigned ones.
+    raised = values.astype(np.uint64) - lows.astype(np.uint64)
     bits = max(1, int(raised.max()).bit_length())
     padded = np.zeros((dims, -(-rows // 64) * 64), np.uint64)
     padded[:, :rows] = raised.T
@@ -140,12 +143,20 @@ def top_rows(
     sums = query_sums(slices, flipped, query, low) if query.any() else {}
     kth = at_least_kth(sums, allowed, min(k, total))
     # The slices left out add between 0 and this much to a sum.
-    spread = ((1 << low) - 1) * int(np.abs(query).sum())
+    spread = ((1 << low) - 1) * sum(np.abs(query).tolist())
     near = not_below(sums, allowed, kth - spread)
     rows = np.flatnonzero(np.unpackbits(near.view(np.uint8), bitorder="little"))
-    scores = values_of(lows, slices, rows) @ query
-    best = np.lexsort((ids[rows], -scores))[:k]
-    return ids[rows][best], scores[best]
+    values = values_of(lows, slices, rows)
+    largest = max(abs(int(values.max(initial=0))), abs(int(values.min(initial=0))))
+    if largest * sum(np.abs(query).tolist()) < 1 << 63:
+        scores = values @ query
+        best = np.lexsort((ids[rows], -scores))[:k]
+        return ids[rows][best], scores[best]
+    exact = [sum(map(int.__mul__, v, query.tolist())) for v in values.tolist()]
+    best = sorted(range(len(rows)), key=lambda at: (-exact[at], ids[rows[at]]))[:k]
+    if any(not -(1 << 63) <= exact[at] < 1 << 63 for at in best):
+        raise OverflowError("a score does not fit 64 bits")
+    return ids[rows][best], np.array([exact[at] for at in best], np.int64)
 
 
 def build_index(vectors: DataFrame, id_column: str, vector: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -156,14 +167,19 @@ def build_index(vectors: DataFrame, id_column: str, vector: str, block_rows: int
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector).alias("v"))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple[int, list[int]]] = []
+        # Ordinary rows and wide ones, whose many slices would be made for all rows of a block.
+        held: dict[bool, list[tuple[int, list[int]]]] = {False: [], True: []}
+        most = {False: block_rows, True: max(1, block_rows // WIDE_SHARE)}
         for batch in batches:
-            held += zip(batch["id"].tolist(), batch["v"])
-            while len(held) >= block_rows:
-                yield block(held[:block_rows])
-                held = held[block_rows:]
-        if held:
-            yield block(held)
+            for row in zip(batch["id"].tolist(), batch["v"]):
+                held[len(row[1]) > 0 and max(max(row[1]), -min(row[1])) >= WIDE].append(row)
+            for wide, part in held.items():
+                while len(part) >= most[wide]:
+                    yield block(part[: most[wide]])
+                    part = held[wide] = part[most[wide] :]
+        for part in held.values():
+            if part:
+                yield block(part)
 
     def block(part: list[tuple[int, list[int]]]) -> pd.DataFrame:
         dims = max(1, max(len(v) for _, v in part))
@@ -188,8 +204,9 @@ def search(
     Returns query_id, rank (from 1), vec_id, score; ties go to the smaller id, a
     query's own id is no candidate, fewer candidates give fewer rows. Rows with
     a null id or a vector that is null, holds a null or non-finite component, or
-    one of 2**24 or more after scaling, take no part; empty vectors score 0 with
-    all. Repeated rows are each a candidate, repeated queries are answered once;
+    one that after scaling is no 64-bit number, take no part; empty vectors score
+    0 with all. One of the k best of a block whose score is no 64-bit number
+    fails the search. Repeated rows are each a candidate, repeated queries are answered once;
     other columns are ignored.
 
     Blocks of the index meet blocks of queries on a grid, each pair in a task of

@@ -56,6 +56,30 @@ def test_unsound_vectors_take_no_part(spark):
     assert rows(found) == [(0, 1, 4, 256 * 128), (0, 2, 5, 0)]
 
 
+def test_large_components_take_part(spark):
+    """Components of 2**24 and more after scaling, next to ordinary ones."""
+    rng = np.random.default_rng(7)
+    data = [(i, [float(x) for x in rng.integers(-64, 64, 4) / 256], "") for i in range(60)]
+    data += [(100 + i, [float(x) for x in rng.integers(-64, 64, 4) * 2.0 ** (10 + i % 14)], "") for i in range(30)]
+    data += [(200, [70_000.0, 0.5, 0.0, 0.0], ""), (250, [-70_000.0, 3.0, 1.0, 0.0], "")]
+    table = spark.createDataFrame(data, SCHEMA)
+    numbers = [(i, [int(np.floor(256 * x)) for x in v]) for i, v, _ in data]
+    found = bsi_search.search(table, table.where("vec_id in (0, 50, 200, 250)"), k=5, block_rows=16, block_queries=2)
+    queries = [n for n in numbers if n[0] in (0, 50, 200, 250)]
+    assert rows(found) == brute(numbers, queries, 5)
+
+
+def test_block_of_wide_rows_and_scores_beyond_64_bits():
+    values = np.array([[(1 << 62) + 3, -(1 << 62)], [-(1 << 63) + 1, 1 << 62], [5, 7]])
+    lows, slices, _ = bsi_search.make_slices(values)
+    assert (bsi_search.values_of(lows, slices, np.arange(3)) == values).all()
+    ids = np.array([4, 9, 2])
+    found, scores = bsi_search.top_rows(ids, lows, slices, ~slices, np.array([1, 1]), -1, 3, 2)
+    assert list(zip(found.tolist(), scores.tolist())) == [(2, 12), (4, 3), (9, -(1 << 62) + 1)]
+    with pytest.raises(OverflowError):
+        bsi_search.top_rows(ids, lows, slices, ~slices, np.array([4, 0]), -1, 1, 2)
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     some = spark.createDataFrame([(0, [1.0], "")], SCHEMA)

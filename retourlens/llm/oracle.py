@@ -142,5 +142,76 @@ from marked left join given on top = above
 """
 
 
+OP11 = r"""
+with words as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents),
+marked as (
+  select doc_id, part, (len(w) < 200)::int + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::int
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::int + 8 * regexp_matches(t, '[#$%&*|]')::int
+    + 16 * (doc_id > min(doc_id) over (partition by t))::int as mask
+  from words),
+known as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+counts as (
+  select part, mask, coalesce(good, false) as good, coalesce(toxic, false) as toxic, count(*) as n
+  from marked left join known using (doc_id) group by all),
+letters(f) as (values ('A'), ('B'), ('C'), ('D'), ('E')),
+orders as (
+  select a.f || b.f || c.f || d.f || e.f as filter_order from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps as (
+  select filter_order, step, filter_order[step] as f, 1 << (ascii(filter_order[step]) - 65) as own,
+    coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65))), 0)::int as before
+  from orders, range(1, 6) as r(step)),
+found as (
+  select part, filter_order, step::int as step, f,
+    coalesce(sum(n) filter (mask & (before | own) = 0), 0)::bigint as kept,
+    coalesce(sum(n) filter (mask & before = 0 and mask & own <> 0), 0)::bigint as removed,
+    coalesce(sum(n) filter (mask & before <> 0 and mask & own <> 0), 0)::bigint as redundant,
+    coalesce(sum(n) filter (mask = own), 0)::bigint as unique_fails,
+    coalesce(sum(n) filter (mask & before = 0 and mask & own <> 0 and good), 0)::bigint as good_lost,
+    coalesce(sum(n) filter (mask & before = 0 and mask & own <> 0 and toxic), 0)::bigint as toxic_lost
+  from counts, steps group by part, filter_order, step, f)
+select * exclude (f), sum(removed) over (partition by part, f)::bigint as shapley from found
+"""
+
+OP12 = (
+    OP9.replace(">= 85 *", ">= 80 *")
+    .replace("as component_id\n", "as component_id, doc_id = least_id as kept\n")
+)
+
+
+def _op13(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds of fitting one after another; every component is a row."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""
+d{n} as (
+  select r, part, entry, sum((x - v) * (x - v))::bigint as d from xs join c{n} using (part, pos) group by r, part, entry),
+a{n} as (select r, part, arg_min(entry, (d, entry)) as entry, min(d) as d from d{n} group by r, part)""")
+        if n < rounds:
+            steps.append(f"""
+c{n + 1} as materialized (
+  select part, entry, pos, coalesce(m.v, c.v) as v from c{n} c
+  left join (select part, entry, pos, floor(sum(x)::double / count(*))::bigint as v from xs join a{n} using (r, part) group by all) m
+  using (part, entry, pos))""")
+    return rf"""
+with kept as (
+  select vec_id, label, row_number() over (order by vec_id nulls last, embedding) as r,
+    list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+flat as (select r, len(v) // {parts} as w, unnest(v) as x, unnest(range(len(v))) as i from kept),
+xs as materialized (select r, i // w as part, i % w as pos, x from flat),
+c0 as materialized (select part, r - 1 as entry, pos, x as v from xs where r <= {entries}),{",".join(steps)},
+coded as (select r, string_agg(printf('%02x', entry::int), '' order by part) as code, sum(d)::bigint as error from a{rounds} group by r)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+  (select sha256(string_agg(v::varchar, ',' order by part, entry, pos)) from c{rounds}) as codebooks_sha256
+from kept join coded using (r)
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op1_bsi_topk": OP1, "op5_mix_sources": OP5, "op6_chat_format": OP6, "op7_exact_dedup": OP7, "op9_jaccard_join": OP9, "op10_licence_scan": OP10}
+    return {
+        "op1_bsi_topk": OP1, "op5_mix_sources": OP5, "op6_chat_format": OP6, "op7_exact_dedup": OP7, "op9_jaccard_join": OP9,
+        "op10_licence_scan": OP10, "op11_filter_audit": OP11, "op12_minhash_dedup": OP12, "op13_vector_codes": _op13(),
+    }

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retourlens.llm import bpe, bsi_search, chat, exact_dedup, jaccard, langid, licences, mixing, pii, quality
+from retourlens.llm import (
+    bpe, bsi_search, chat, exact_dedup, filter_audit, jaccard, langid, licences, mixing, near_dedup, pii, quality, vector_codes,
+)
 from retourlens.llm.tables import read, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +113,23 @@ def op10_licence_scan(spark, sf_dir):
     return licences.scan(files, carry=["doc_id", "path"])
 
 
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit_filters(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_minhash_dedup(spark, sf_dir):
+    classes = near_dedup.near_classes(read(spark, sf_dir, "documents"), words=4, percent=80)
+    own = F.col("id").eqNullSafe(F.col("component_id"))
+    return classes.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", own.alias("kept"))
+
+
+def op13_vector_codes(spark, sf_dir):
+    codes = vector_codes.compress(read(spark, sf_dir, "embeddings"))
+    rated = vector_codes.label_errors(codes.rows)
+    books = hashlib.sha256(codes.listed().encode()).hexdigest()
+    return rated.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books).alias("codebooks_sha256"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_bsi_topk": op1_bsi_topk,
@@ -122,4 +142,7 @@ def all_queries() -> dict[str, Query]:
         "op8_quality": op8_quality,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_licence_scan": op10_licence_scan,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_minhash_dedup": op12_minhash_dedup,
+        "op13_vector_codes": op13_vector_codes,
     }

@@ -1,0 +1,117 @@
+import math
+
+import numpy as np
+import pytest
+
+from retourlens.llm import vector_codes
+from tests.llm.helpers import rows
+
+TABLE = "vec_id long, embedding array<double>, label int, code string, ids int"
+
+
+def brute(table, parts=8, k=16, rounds=6, scale=4096):
+    """Codes and codebooks of (id, vector, label) by plain loops over Python's integers."""
+    good = [(i, v, lab) for i, v, lab in table if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    good.sort(key=lambda row: (row[0] is None, row[0], row[1]))
+    whole = [[math.floor(scale * x) for x in v] for _, v, _ in good]
+    width = -(-len(whole[0]) // parts)
+    cut = [[(v + [0] * parts)[p * width : (p + 1) * width] for p in range(parts)] for v in whole]
+    books = [[c[p] for c in cut[:k]] for p in range(parts)]
+
+    def near(book, x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e)), n) for n, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p, book in enumerate(books):
+            own = [near(book, c[p])[1] for c in cut]
+            books[p] = [
+                [sum(col) // own.count(n) for col in zip(*[c[p] for c, o in zip(cut, own) if o == n])] if n in own else e
+                for n, e in enumerate(book)
+            ]
+    found = [[near(book, c[p]) for p, book in enumerate(books)] for c in cut]
+    coded = [
+        (i, lab, "".join(f"{n:02x}" for _, n in f), sum(d for d, _ in f)) for (i, _, lab), f in zip(good, found)
+    ]
+    return sorted(coded, key=repr), books
+
+
+def check(spark, table, **settings):
+    docs = spark.createDataFrame([(i, v, lab, "x", 1) for i, v, lab in table], TABLE)
+    found = vector_codes.compress(docs.repartition(3), **settings)
+    coded, books = brute(table)
+    assert rows(found.rows, "id", "label", "code", "error") == coded
+    assert [b.tolist() for b in found.codebooks] == books
+    assert found.listed() == ",".join(str(x) for b in books for e in b for x in e)
+    return found
+
+
+@pytest.fixture(scope="module")
+def table():
+    r = np.random.default_rng(5)
+    centres = r.normal(size=(9, 24))
+    vectors = [(centres[n % 9] + r.normal(scale=0.1, size=24)).tolist() for n in range(300)]
+    found = [(n, v, n % 4 if n % 7 else None) for n, v in enumerate(vectors)]
+    found += [(n, vectors[3], 1) for n in range(400, 460)] + [(4, vectors[9], 2), (4, vectors[9], 2), (None, vectors[5], None)]
+    broken = [None, *[[*vectors[0][:23], x] for x in (None, math.nan, math.inf, -math.inf)], vectors[0][:8], []]
+    return found, [(500 + n, v, 1) for n, v in enumerate(broken)]
+
+
+@pytest.mark.parametrize("leaf, block_rows", [(1, 40), (vector_codes.LEAF, vector_codes.BLOCK_ROWS)])
+def test_against_brute_force(spark, table, leaf, block_rows):
+    """Unsound vectors and those of another length are left out."""
+    good, broken = table
+    docs = spark.createDataFrame([(i, v, lab, "x", 1) for i, v, lab in good + broken], TABLE)
+    found = vector_codes.compress(docs.repartition(3), leaf=leaf, block_rows=block_rows)
+    coded, books = brute(good)
+    assert rows(found.rows, "id", "label", "code", "error") == coded
+    assert [b.tolist() for b in found.codebooks] == books
+
+
+def test_labels_sum_their_errors(spark, table):
+    found = check(spark, table[0])
+    sums = {}
+    for _, lab, _, error in brute(table[0])[0]:
+        sums[lab] = sums.get(lab, 0) + error
+    rated = vector_codes.label_errors(found.rows).collect()
+    assert len(rated) == len(table[0]) and all(r["label_error"] == sums[r["label"]] for r in rated)
+
+
+def test_small_grids_and_ties(spark):
+    """Whole numbers a step apart: many equal distances and equal points."""
+    r = np.random.default_rng(2)
+    check(spark, [(n, (r.integers(-2, 3, 16) / 4096).tolist(), 0) for n in range(400)])
+
+
+def test_other_shapes(spark):
+    r = np.random.default_rng(3)
+    check(spark, [(n, r.normal(size=8).tolist(), n) for n in range(5)])
+    check(spark, [(n, r.normal(size=13).tolist(), 1) for n in range(60)])
+    check(spark, [(1, [0.5] * 8, None)])
+
+
+def test_large_components(spark):
+    r = np.random.default_rng(4)
+    check(spark, [(n, (r.normal(size=8) * 2.0**17).tolist(), 1) for n in range(50)])
+    far = [(n, [3e9 + n % 3 * 2.0**-12, *r.normal(size=7).tolist()], 1) for n in range(50)]
+    check(spark, far)
+
+
+def test_empty_table(spark):
+    found = vector_codes.compress(spark.createDataFrame([(1, None, 1, "x", 1)], TABLE))
+    assert found.rows.count() == 0 and found.codebooks == [] and found.listed() == ""
+    assert vector_codes.label_errors(found.rows).count() == 0
+
+
+@pytest.mark.parametrize("n, width, spread", [(1, 3, 9), (2, 1, 1), (700, 4, 300), (900, 2, 4), (300, 1, 2)])
+def test_tree_equals_plain_assignment(n, width, spread):
+    r = np.random.default_rng(n)
+    points = r.integers(-spread, spread, (n, width))
+    tree = vector_codes.build_tree(points, leaf=5)
+    assert sorted(tree.order.tolist()) == list(range(n)) and (tree.sums[0] == points.sum(0)).all()
+    for k in (1, 4, 16):
+        entries = points[r.integers(0, n, k)]
+        owners = np.full(n, -1)
+        sums, counts = vector_codes.assign(tree, points, entries, owners)
+        best, _ = vector_codes.nearest(points, entries, np.ones((n, k), bool))
+        assert (owners == best).all() and (counts == np.bincount(best, minlength=k)).all()
+        assert all((sums[e] == points[best == e].sum(0)).all() for e in range(k))

@@ -270,6 +270,9 @@ def _stumps() -> dict[str, str]:
         "forest_stump": fitted("dear", 2) + scored.format(score="share"),
         "boosted_stump": fitted("returned", 7) + scored.format(score="1 / (1 + exp(-2 * (2 * share - 1)))"),
         "stump_importance": fitted("dear", 2) + "select any_value(flag) as feature, 1e0 as importance from split",
+        "importance_order": fitted("dear", 2)
+        + f"""select feature, case when feature = (select any_value(flag) from split) then 1e0 else 0e0 end as importance
+from (select unnest([{", ".join(f"'{f}'" for f in FLAGS)}]) as feature) order by importance desc, feature limit 5""",
     }
 
 
@@ -475,6 +478,15 @@ from sales where not is_unknown""",
         "greedy_ensemble": _greedy(),
         "fold_average": _with(*STAND_INS)
         + "select order_item_id, round(ce_user + 0.005, 10) as score from stand_ins where is_unknown",
+        "zoo_coverage": _with()
+        + f"""select split, fold, model, count(*) as n_rows, 0::bigint as n_other_fold, 0::bigint as n_no_probability,
+  sum(order_item_id)::bigint as sum_ids
+from (
+  select 'known' as split, cast({_hash(1001)} % 2 as int) as fold, order_item_id from sales where not is_unknown
+  union all select 'unknown', unnest([0, 1])::int, order_item_id from sales where is_unknown
+), (select unnest(['nn_01', 'xgb_00', 'xgb_08', 'rf_00', 'rf_04']) as model)
+group by all""",
+        "truncated": _with() + "select order_item_id, trunc(item_price * 1e1)::int as tenths from sales",
         "out_of_fold": _with(*STAND_INS)
         + f"""select order_item_id, item_price, returned, {MEAN} as score
 from stand_ins where not is_unknown""",

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retourlens.functions.scalar import days_between, parse_date
+from retourlens.functions.scalar import days_between, parse_date, truncate
 from retourlens.operators import decisions, ensemble, features, folds, metrics, models, search, tables
 from retourlens.plans import training
 from retourlens.plans.feature_table import (
@@ -403,6 +403,17 @@ def stump_importance(spark, sf_dir):
     return models.importance(_stump(spark, sf_dir, est, "dear")[0], FLAGS, 1)
 
 
+def importance_order(spark, sf_dir):
+    """The five features of the most importance, in order; names settle ties."""
+    est = models.forest(models.ForestConfig(trees=1, depth=1, columns="all")).setBootstrap(False)
+    return models.importance(_stump(spark, sf_dir, est, "dear")[0], FLAGS, 5)
+
+
+def truncated(spark, sf_dir):
+    """Ten times the price without its fraction."""
+    return _rows(spark, sf_dir, "item_price").select(ID, truncate(F.col("item_price") * 10).alias("tenths"))
+
+
 def random_search(spark, sf_dir):
     """Both tree families over five stratified folds; few draws of small trees."""
     train, _ = _training(spark, sf_dir)
@@ -421,27 +432,38 @@ def random_search(spark, sf_dir):
 
 def feature_importance(spark, sf_dir):
     train, _ = _training(spark, sf_dir)
-    cfg = models.lighter(models.ForestConfig(), **QUICK)
-    return models.importance(models.fit_trees(cfg, train), FEATURES)
+    return models.forest_importance(models.lighter(models.ForestConfig(), **QUICK), train, FEATURES)
 
 
 def _zoo(spark, sf_dir):
     train, unknown = _training(spark, sf_dir, 2)
     picked = {n: models.lighter(c, **QUICK) for n, c in models.zoo_configs().items()}
     few = {n: picked[n] for n in ("nn_01", "xgb_00", "xgb_08", "rf_00", "rf_04")}
-    return training.model_zoo(train, unknown, few, range(2), parallelism=4), train
+    return training.model_zoo(train, unknown, few, range(2), parallelism=4)
 
 
 def model_zoo(spark, sf_dir):
-    zoo, train = _zoo(spark, sf_dir)
-    return training.zoo_aucs(zoo, train)
+    return training.zoo_aucs(_zoo(spark, sf_dir))
+
+
+def zoo_coverage(spark, sf_dir):
+    """What each model of each fold scored: rows, rows of another fold, and scores that are no probability."""
+    zoo = _zoo(spark, sf_dir)
+    known = zoo.long_test().select("fold", "model", ID, "score").withColumn("split", F.lit("known"))
+    scored = known.unionByName(zoo.long_unknown().withColumn("split", F.lit("unknown")))
+    fold = folds.kfold(_rows(spark, sf_dir), 2, 1001).select(ID, F.col("fold").alias("own"))
+    other = (F.col("split") == "known") & (F.col("fold") != F.col("own"))
+    return scored.join(fold, ID).groupBy("split", "fold", "model").agg(
+        F.count("*").alias("n_rows"), F.count_if(other).alias("n_other_fold"),
+        F.count_if(F.col("score").isNull() | ~F.col("score").between(0, 1)).alias("n_no_probability"),
+        F.sum(ID).alias("sum_ids"),
+    )
 
 
 def zoo_submission(spark, sf_dir):
-    """Features to warnings for unknown rows through zoo and ensembles."""
-    zoo, train = _zoo(spark, sf_dir)
-    result = training.ensemble_folds(zoo, train)
-    return decisions.decide(_priced(spark, sf_dir), result.unknown)
+    """Features to warnings for unknown rows through zoo and ensembles; no row moves after it is scored."""
+    result = training.ensemble_folds(_zoo(spark, sf_dir))
+    return decisions.warn(result.unknown).select(ID, "warn")
 
 
 def _encoder_queries() -> dict[str, Query]:
@@ -514,7 +536,8 @@ def all_queries() -> dict[str, Query]:
         greedy_ensemble, fold_average, out_of_fold, tau, warn, warn_negative_prices, count_warned, revenue, error_cost,
         head_rows, revenue_sweep, cost_sweep, best_multiplier, best_cost_multiplier, calibration,
         decide_unknown, cost_summary, confusion, assembled_vectors, forest_stump, boosted_stump, stump_importance,
-        random_search, feature_importance, model_zoo,
+        importance_order, truncated,
+        random_search, feature_importance, model_zoo, zoo_coverage,
         zoo_submission,
     ]
     learners = {

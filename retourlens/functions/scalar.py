@@ -98,6 +98,11 @@ def hash_number(identifier: Column | str, seed: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
+def truncate(value: Column | str) -> Column:
+    """The whole number towards zero, as an int."""
+    return _col(value).cast("int")
+
+
 def grid_point(index: Column, start: float, stop: float, count: int) -> Column:
     """Value ``index`` of ``count`` evenly spaced points, both ends included."""
     step = (stop - start) / (count - 1)

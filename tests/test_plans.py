@@ -14,7 +14,7 @@ from retourlens.sources.sales import sales
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 LEARNERS = {
     "random_search", "feature_importance", "model_zoo", "zoo_submission", "forest_stump", "boosted_stump",
-    "stump_importance",
+    "stump_importance", "importance_order", "zoo_coverage",
 }
 
 # Column totals of the whole feature table at sf0.01.

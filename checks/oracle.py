@@ -486,6 +486,14 @@ from (
   union all select 'unknown', unnest([0, 1])::int, order_item_id from sales where is_unknown
 ), (select unnest(['nn_01', 'xgb_00', 'xgb_08', 'rf_00', 'rf_04']) as model)
 group by all""",
+        "price_scaled": _with(
+            "middles as (select brand_id, median(item_price) as middle from sales group by brand_id)",
+            """spreads as (select brand_id, any_value(middle) as middle, median(abs(item_price - middle)) as away
+  from sales join middles using (brand_id) group by brand_id)""",
+        )
+        + """select order_item_id, case when away = 0 then 0e0
+  else round_even((item_price - middle) / (away / 0.6744897501960817e0) * 1e6, 0) / 1e6 + 0e0 end as scaled_price
+from sales left join spreads using (brand_id)""",
         "truncated": _with() + "select order_item_id, trunc(item_price * 1e1)::int as tenths from sales",
         "out_of_fold": _with(*STAND_INS)
         + f"""select order_item_id, item_price, returned, {MEAN} as score

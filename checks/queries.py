@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from retourlens.functions.scalar import days_between, parse_date, truncate
 from retourlens.operators import decisions, ensemble, features, folds, metrics, models, search, tables
+from retourlens.operators.encoders import RobustScaler
 from retourlens.plans import training
 from retourlens.plans.feature_table import (
     FEATURES,
@@ -108,6 +109,13 @@ def _numbered(rows):
     return features.numeric_size(_sized(rows))
 
 
+def price_scaled(spark, sf_dir):
+    """Prices of a brand in units of their spread; brands have many prices, so medians are selected."""
+    rows = _rows(spark, sf_dir, "brand_id", "item_price")
+    scaler = RobustScaler(["brand_id"], "item_price", "scaled_price", digits=6, select_over=500)
+    return scaler.transform(rows).select(ID, "scaled_price")
+
+
 def _features_ready(spark, sf_dir, config=FeatureConfig()):
     return build_features_stacked(sales(spark, sf_dir), config)
 
@@ -536,7 +544,7 @@ def all_queries() -> dict[str, Query]:
         greedy_ensemble, fold_average, out_of_fold, tau, warn, warn_negative_prices, count_warned, revenue, error_cost,
         head_rows, revenue_sweep, cost_sweep, best_multiplier, best_cost_multiplier, calibration,
         decide_unknown, cost_summary, confusion, assembled_vectors, forest_stump, boosted_stump, stump_importance,
-        importance_order, truncated,
+        importance_order, truncated, price_scaled,
         random_search, feature_importance, model_zoo, zoo_coverage,
         zoo_submission,
     ]

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from retourlens.functions.scalar import round_half_even
 from retourlens.operators.grouping import Form, GroupStep, Joined, Windowed, all_present, attach
+from retourlens.operators.selection import SELECT_OVER, group_median
+from retourlens.session import settle
 
 # The rate of unsupported keys, and the MAD of a unit normal.
 PRIOR = 0.48
@@ -65,6 +67,10 @@ class TargetEncoder:
             .select(*self.keys, self._rate(F.col("__n"), F.col("__r")).alias(self.output))
         )
 
+    def rates(self, sums: DataFrame, support: str, returns: str) -> DataFrame:
+        """``fit`` of keys that are already counted."""
+        return sums.select(*self.keys, self._rate(F.col(support), F.col(returns)).alias(self.output))
+
     def transform(self, df: DataFrame, encodings: DataFrame) -> DataFrame:
         """Needs ``is_unknown`` in ``df`` when the key is a single column."""
         found = attach(df, encodings, self.keys)
@@ -93,9 +99,10 @@ class TargetEncoder:
 class RobustScaler:
     """``(x - median) / MAD`` per group, 0 where the MAD is 0.
 
-    The joined form reduces rows to counted distinct values before it takes
-    the medians, so its buffers grow with a group's distinct values only.
-    ``weight`` names how many rows a row stands for, one if not given.
+    The joined form reduces rows to counted distinct values, stored once, before
+    it takes the medians; of groups with more than ``select_over`` values they
+    are selected by nested histograms, so no task holds a group. ``weight`` names
+    how many rows a row stands for, one if not given.
     """
 
     keys: Sequence[str]
@@ -103,6 +110,7 @@ class RobustScaler:
     output: str
     digits: int = 2
     weight: str | None = None
+    select_over: int = SELECT_OVER
 
     def _scaled(self) -> Column:
         value, spread = F.col(self.value), F.col("__mad")
@@ -117,20 +125,14 @@ class RobustScaler:
             centred = form.values(df, self.keys, {"__median": middle})
             ready = form.values(centred, self.keys, {"__away": F.percentile(away, F.lit(0.5), times)})
         else:
-            counted = (
-                form.rows(df)
-                .dropna(subset=[*self.keys, self.value])
-                .groupBy(*self.keys, self.value)
-                .agg((F.sum(self.weight) if self.weight else F.count("*")).alias("__n"))
-            )
-            middle = counted.groupBy(*self.keys).agg(
-                F.percentile(self.value, F.lit(0.5), F.col("__n")).alias("__median")
-            )
-            spread = (
-                attach(counted, middle, self.keys)
-                .groupBy(*self.keys, "__median")
-                .agg(F.percentile(away, F.lit(0.5), F.col("__n")).alias("__away"))
-            )
+            times = F.sum(self.weight) if self.weight else F.count("*")
+            counted = form.rows(df).dropna(subset=[*self.keys, self.value])
+            counted = counted.groupBy(*self.keys, F.col(self.value).alias("__value")).agg(times.alias("__n"))
+            counted = settle(counted, "scaled-values")
+            middle = settle(group_median(counted, self.keys, "__median", self.select_over), "medians")
+            apart = attach(counted, middle, self.keys).withColumn("__value", F.abs(F.col("__value") - F.col("__median")))
+            apart = apart.select(*self.keys, "__value", "__n")
+            spread = attach(middle, group_median(apart, self.keys, "__away", self.select_over), self.keys)
             ready = attach(df, spread, self.keys)
         scaled = ready.withColumn("__mad", F.col("__away") / F.lit(NORMAL_MAD))
         return scaled.withColumn(self.output, self._scaled()).drop("__median", "__away", "__mad")

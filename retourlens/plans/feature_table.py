@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from retourlens.operators import features as f
 from retourlens.operators import tables
-from retourlens.operators.grouping import MAX_GROUP_ROWS, Form, hot_keys, per_group, run_steps
-from retourlens.plans.item_tables import attach_items, broadcast_bytes, colour_sums, size_sums
-from retourlens.session import settle, settle_all
+from retourlens.operators.grouping import MAX_GROUP_ROWS, Form, per_group, run_steps
+from retourlens.plans.item_tables import COUNTED, attach_items, broadcast_bytes
+from retourlens.plans.sums import group_sums
+from retourlens.session import settle
 
 IDS = ["order_item_id", "item_id", "brand_id", "user_id"]
 LABEL = "returned"
@@ -28,6 +29,7 @@ FEATURES = [
     "membership_age_days", "time_to_delivery_days", "assumed_age",
 ]
 ITEM_INPUTS = ["item_id", "item_size", "item_color", "item_price", "is_unknown", LABEL]
+SUM_INPUTS = [*ITEM_INPUTS, "brand_id", "user_id"]
 # Size up to which an item table is broadcast.
 MAX_ITEM_BYTES = 48 * 1024 * 1024
 UNUSED = ["user_state", "user_title"]
@@ -77,35 +79,29 @@ def build_features_stacked(sales: DataFrame, config: FeatureConfig = FeatureConf
     """Feature table of rows that already carry ``is_unknown``.
 
     Rows move once, to their user, where the catalogue is small enough to
-    broadcast, and a second time, to their item, where it is not. Brand and
-    price rates are fitted first and joined as the small tables they are.
+    broadcast, and a second time, to their item, where it is not. All that is
+    fitted or measured beforehand comes from one pass of ``group_sums``; brand
+    and price rates are joined as the small tables they are.
     """
     support, limit = config.support, config.max_group_rows
     rows = f.rounded_price(tables.drop(sales, UNUSED))
-    known = rows.where(~F.col("is_unknown"))
     items = _corrected(rows.select(*ITEM_INPUTS))
     brand, price = f.brand_encoder(support), f.price_encoder(support)
-    ready = settle_all(
-        {
-            "brand": brand.fit(known),
-            "price": price.fit(known),
-            "users": hot_keys(sales, "user_id", limit),
-            "sizes": size_sums(items),
-            "colours": colour_sums(items),
-        }
-    )
-    out = _corrected(per_group(rows, "user_id", _per_user(support), ready["users"]))
-    parts = {"sizes": "item_size", "colours": "item_color"}
+    ready = group_sums(_corrected(rows.select(*SUM_INPUTS)), limit)
+    rates = {"brand": brand.rates(ready["brand"], *COUNTED), "price": price.rates(ready["price"], *COUNTED)}
+    hot_users = ready["user"].select("user_id")
+    out = _corrected(per_group(rows, "user_id", _per_user(support), hot_users))
+    parts = {"size": "item_size", "colour": "item_color"}
     if all(broadcast_bytes(ready[n], c) <= config.max_item_bytes for n, c in parts.items()):
-        out = attach_items(out, ready["sizes"], ready["colours"], support)
+        out = attach_items(out, ready["size"], ready["colour"], support)
     else:
         # Items with many rows follow from the sums; no second scan is needed.
-        counts = ready["sizes"].groupBy("item_id").agg(F.sum("__rows").alias("rows"))
+        counts = ready["size"].groupBy("item_id").agg(F.sum("__rows").alias("rows"))
         without = rows.where(F.col("item_id").isNull()).select("item_id")
         crowded = without.groupBy("item_id").agg(F.count("*").alias("rows"))
         hot = settle(counts.union(crowded).where(F.col("rows") > limit).select("item_id"), "items")
         out = per_group(out, "item_id", _per_item(support), hot, items)
-    out = price.transform(brand.transform(out, ready["brand"]), ready["price"])
+    out = price.transform(brand.transform(out, rates["brand"]), rates["price"])
     out = f.new_user(f.type_dummies(out))
     out = f.assumed_age(f.time_to_delivery(f.membership_age(f.was_delivered(out))))
     return tables.reorder(out, [*IDS, *FEATURES, "is_unknown", LABEL])

@@ -1,7 +1,7 @@
 """Item features as two small tables, for catalogues that fit a broadcast.
 
 All values of an item depend on the item and its sizes or colours. Rows are
-first summed per (item, size) and (item, colour); where the sums turn out small,
+first summed per (item, size) and (item, colour) (``sums``); where these are small,
 the features are worked out on them and joined, and order rows are not shuffled
 by item at all.
 """
@@ -20,26 +20,6 @@ ROW_BYTES = 224
 COUNTED = ("__known", "__returns")
 
 
-def _sums(rows: DataFrame, part: str, **more) -> DataFrame:
-    """Labelled rows and returns per item and ``part``, and what is asked for."""
-    label = F.when(~F.col("is_unknown"), F.col("returned"))
-    values = {"__known": F.count(label), "__returns": F.sum(label), **more}
-    items = rows.where(F.col("item_id").isNotNull())
-    return items.groupBy("item_id", part).agg(*[v.alias(n) for n, v in values.items()])
-
-
-def size_sums(rows: DataFrame) -> DataFrame:
-    """Expects the rounded price and the normalised size text."""
-    return _sums(
-        rows, "item_size", __rows=F.count("*"), __price=F.sum("item_price"), __prices=F.count("item_price")
-    )
-
-
-def colour_sums(rows: DataFrame) -> DataFrame:
-    """Expects the corrected colour."""
-    return _sums(rows, "item_color")
-
-
 def broadcast_bytes(sums: DataFrame, part: str) -> int:
     """Upper estimate of a settled table's size as a hashed relation.
 

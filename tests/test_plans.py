@@ -5,9 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.queries import MIXED, all_queries
+from retourlens.operators import features
 from retourlens.operators.grouping import hot_keys, per_group
 from retourlens.plans import training
 from retourlens.plans.feature_table import FEATURES, FeatureConfig, build_features_stacked
+from retourlens.plans.sums import summed
 from retourlens.session import settle
 from retourlens.sources.sales import sales
 
@@ -111,6 +113,17 @@ def test_fits_read_only_their_folds(spark):
     assert unknown.columns == ["order_item_id", "item_price", "features"] and unknown.count() > 0
 
 
+@needs_data
+def test_two_scans_of_the_input(spark):
+    """One for everything that is fitted beforehand, one for the features."""
+    rows = sales(spark, SMALL)
+    before = plan(summed(features.rounded_price(rows), 2_000_000))
+    after = plan(build_features_stacked(rows))
+    for text in (before, after):
+        assert len(re.findall(r"FileScan parquet .*lineitem\.parquet", text)) == 1
+    assert "Expand" in before and len(re.findall(r"FileScan parquet", after)) <= 8
+
+
 @needs_data
 def test_rows_move_to_users_and_a_large_catalogue_to_items(spark):
     """The adapter itself shuffles by order, once."""

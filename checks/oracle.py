@@ -508,6 +508,30 @@ def all_sql() -> dict[str, str]:
         + f"""select order_item_id, order_date, delivery_date, item_id, item_size, item_color, brand_id,
   item_price, user_id, user_dob, user_reg_date, returned, {DELIVERED}, {TAU} as stored_score
 from priced""",
+        "orders_quarantine": _with()
+        + """, judged as (
+  select order_item_id as i, i % 97 = 0 as price, i % 89 = 0 as day, i % 83 = 0 as brand from sales where not is_unknown),
+reasons as (
+  select case when price or day or brand then 'rejected' else 'accepted' end as reason, i from judged
+  union all select 'item_price: not a double', i from judged where price
+  union all select 'order_date: not a date', i from judged where day
+  union all select 'brand_id: missing', i from judged where brand)
+select reason, count(*) as n_rows, sum(i)::bigint as sum_ids from reasons group by reason""",
+        "inferred_types": _with()
+        + """, seen as (
+  select is_unknown, name, value from (
+    select is_unknown, order_item_id::varchar as order_item_id, order_date::varchar as order_date, delivery_date::varchar as delivery_date,
+      item_id::varchar as item_id, item_size, item_color, brand_id::varchar as brand_id, item_price::varchar as item_price,
+      user_id::varchar as user_id, user_dob::varchar as user_dob, user_reg_date::varchar as user_reg_date, returned::varchar as returned
+    from sales) unpivot include nulls (value for name in (columns(* exclude (is_unknown))))
+  where name <> 'returned' or not is_unknown)
+select case when is_unknown then 'unknown' else 'known' end as split, name,
+  case when bool_and(value is null or (regexp_full_match(value, '[+-]?[0-9]+') and try_cast(value as int) is not null)) then 'int'
+    when bool_and(value is null or (regexp_full_match(value, '[+-]?[0-9]+') and try_cast(value as bigint) is not null)) then 'bigint'
+    when bool_and(value is null or try_cast(value as double) is not null) then 'double'
+    when bool_and(value is null or try_cast(value as date) is not null) then 'date' else 'string' end as type,
+  count(*) > count(value) as has_gaps
+from seen group by is_unknown, name""",
         "rekey_unknown": _with()
         + """select order_item_id, item_id * 2 + 2 as item_id, brand_id + 100 as brand_id
 from sales where is_unknown""",

@@ -20,6 +20,7 @@ from retourlens.plans.feature_table import (
 )
 from retourlens.session import scratch_path, settle, settle_all
 from retourlens.sources import orders
+from retourlens.sources.checked import infer_schema, read_checked
 from retourlens.sources.sales import sales
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +79,37 @@ def csv_roundtrip(spark, sf_dir):
     return kept.join(back, ID)
 
 
+def orders_quarantine(spark, sf_dir):
+    """Labelled orders in a file with prices, dates and brands made bad on purpose: what is accepted, and why others are not."""
+    known, _ = tables.split(sales(spark, sf_dir))
+    spoiled = {
+        "item_price": F.when(F.col(ID) % 97 == 0, "n/a").otherwise(F.col("item_price").cast("string")),
+        "order_date": F.when(F.col(ID) % 89 == 0, "1996-02-30").otherwise(F.col("order_date").cast("string")),
+        "brand_id": F.when(F.col(ID) % 83 != 0, F.col("brand_id")),
+        "user_title": F.lit(None).cast("string"), "user_state": F.lit(None).cast("string"),
+    }
+    path = scratch_path(spark, "spoiled-orders")
+    known.withColumns(spoiled).select(*orders.ORDER_SCHEMA.names).write.option("header", True).csv(path)
+    found = read_checked(spark, path, orders.ORDER_SCHEMA)
+    accepted = found.rows.select(F.lit("accepted").alias("reason"), ID)
+    number = F.get_json_object("line", f"$.{ID}").cast("long").alias(ID)
+    rejected = found.rejected.select(F.explode("reasons").alias("reason"), number)
+    every = found.rejected.select(F.lit("rejected").alias("reason"), number)
+    return accepted.union(rejected).union(every).groupBy("reason").agg(F.count("*").alias("n_rows"), F.sum(ID).alias("sum_ids"))
+
+
+def inferred_types(spark, sf_dir):
+    """Types found in the files of both splits, and how they differ from the declared ones."""
+    known, unknown = tables.split(sales(spark, sf_dir))
+    rows = []
+    for split, table in (("known", known), ("unknown", unknown.drop("returned"))):
+        path = scratch_path(spark, "orders-to-infer")
+        table.drop("is_unknown").write.option("header", True).csv(path)
+        seen = infer_schema(spark, path)
+        rows += [(split, f.name, f.dataType.simpleString(), f.nullable) for f in seen]
+    return spark.createDataFrame(rows, "split string, name string, type string, has_gaps boolean")
+
+
 def rekey_unknown(spark, sf_dir):
     rows = _rows(spark, sf_dir, "item_id", "brand_id")
     return tables.rekey(rows.where("is_unknown")).select(ID, "item_id", "brand_id")
@@ -538,7 +570,7 @@ def _feature_queries() -> dict[str, Query]:
 
 def all_queries() -> dict[str, Query]:
     direct = [
-        stack_splits, csv_roundtrip, rekey_unknown, feature_table, feature_table_hot_groups,
+        stack_splits, csv_roundtrip, orders_quarantine, inferred_types, rekey_unknown, feature_table, feature_table_hot_groups,
         feature_table_large_catalogue, feature_table_two_files, feature_table_gaps, date_parts, kfold_assign, stratified_folds, holdout, roc_curve,
         auc, auc_gaps, auc_by_model, best_model, best_fold, mean_ensemble, merged_scores, mean_ensemble_auc,
         greedy_ensemble, fold_average, out_of_fold, tau, warn, warn_negative_prices, count_warned, revenue, error_cost,

@@ -433,6 +433,7 @@ order by order_item_id limit 10""",
   round(avg(score), 10) as mean_score, round(avg(returned), 10) as observed_rate
 from scored where not is_unknown group by 1""",
         "decide_unknown": scored + "select order_item_id, warn from decided where is_unknown",
+        "decide_stored": scored + "select order_item_id, warn from decided where is_unknown",
         "cost_summary": scored
         + f"""select count(*) as n_rows, count(*) filter (warn = 1) as n_warned,
   round(sum({REVENUE}), 4) as total_revenue, round(sum({COST}), 4) as total_cost,

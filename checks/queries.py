@@ -22,6 +22,7 @@ from retourlens.session import scratch_path, settle, settle_all
 from retourlens.sources import orders
 from retourlens.sources.checked import infer_schema, read_checked
 from retourlens.sources.sales import sales
+from retourlens.sources.stored import store_by_id
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -378,6 +379,13 @@ def decide_unknown(spark, sf_dir):
     return decisions.decide(_priced(spark, sf_dir), scored)
 
 
+def decide_stored(spark, sf_dir):
+    """Decisions from prices and scores that are both stored by id."""
+    scored = _user_scored(spark, sf_dir).where("is_unknown").select(ID, "score")
+    prices = store_by_id(_priced(spark, sf_dir).select(ID, "item_price"), "prices", 16)
+    return decisions.decide(prices, store_by_id(scored, "user_scores", 16))
+
+
 def cost_summary(spark, sf_dir):
     return decisions.cost_summary(_decided(spark, sf_dir))
 
@@ -575,7 +583,7 @@ def all_queries() -> dict[str, Query]:
         auc, auc_gaps, auc_by_model, best_model, best_fold, mean_ensemble, merged_scores, mean_ensemble_auc,
         greedy_ensemble, fold_average, out_of_fold, tau, warn, warn_negative_prices, count_warned, revenue, error_cost,
         head_rows, revenue_sweep, cost_sweep, best_multiplier, best_cost_multiplier, calibration,
-        decide_unknown, cost_summary, confusion, assembled_vectors, forest_stump, boosted_stump, stump_importance,
+        decide_unknown, decide_stored, cost_summary, confusion, assembled_vectors, forest_stump, boosted_stump, stump_importance,
         importance_order, truncated, price_scaled,
         random_search, feature_importance, model_zoo, zoo_coverage,
         zoo_submission,

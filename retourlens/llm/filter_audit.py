@@ -30,10 +30,12 @@ FILTERS = "ABCDE"
 #: The least words, and percentages of distinct words and capital letters.
 LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 200, 50, 3
 MARKS = re.compile(r"[#$%&*|]")
-#: Text that one trie, and one prefix, may hold.
-TRIE_BYTES, PREFIX_BYTES, NODE_BYTES = 16 << 20, 32 << 20, 500
-#: Characters of the first prefix, and of the longest one kept beside the text.
-FIRST_PREFIX, HEAD = 4, 64
+#: Memory of a trie and of a node, and text that one range of prefixes may hold.
+TRIE_BYTES, NODE_BYTES, RANGE_BYTES = 16 << 20, 500, 32 << 20
+#: A prefix may hold a share of all text, within limits, so that ranges can be even at every size.
+PREFIX_SHARE, LEAST_PREFIX = 1024, 512 << 10
+#: Characters of the first prefix, how many times longer the next one is, and the longest one kept beside the text.
+FIRST_PREFIX, LONGER, HEAD = 4, 4, 64
 #: Rows and bytes of a batch of texts that a task returns.
 BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 _NOT_CAPITAL = bytes(b for b in range(256) if not 65 <= b <= 90)
@@ -207,11 +209,11 @@ def _resolve(trie_bytes: int):
     return run
 
 
-def with_prefixes(texts: DataFrame, prefix_bytes: int = PREFIX_BYTES) -> DataFrame:
+def with_prefixes(texts: DataFrame, prefix_bytes: int) -> DataFrame:
     """``texts`` (text, head, bytes, chars, ..) with an adaptive ``prefix``, and whether that is one ``hot`` text.
 
     Prefixes start with ``FIRST_PREFIX`` characters; those that hold more than
-    ``prefix_bytes`` double in length, until what they hold is one text. Up to
+    ``prefix_bytes`` grow ``LONGER`` times, until what they hold is one text. Up to
     ``HEAD`` characters they are measured on the narrow column ``head``. Of the
     tables of heavy prefixes, each with at most total / ``prefix_bytes`` rows,
     Spark broadcasts the small ones by their measured size.
@@ -224,17 +226,17 @@ def with_prefixes(texts: DataFrame, prefix_bytes: int = PREFIX_BYTES) -> DataFra
         if heavy.isEmpty():
             return found
         left = left.join(heavy.where("not one"), here == F.col("heavy"), "left_semi")
-        longer = F.substring("head" if 2 * length <= HEAD else "text", 1, 2 * length)
+        longer = F.substring("head" if LONGER * length <= HEAD else "text", 1, LONGER * length)
         found = found.join(heavy, (F.col("prefix") == F.col("heavy")) & ~F.col("hot"), "left").withColumns({
             "prefix": F.when(F.col("one"), F.col("prefix")).when(F.col("heavy").isNotNull(), longer).otherwise(F.col("prefix")),
             "hot": F.col("hot") | F.coalesce("one", F.lit(False)),
         }).drop("heavy", "one")
-        length *= 2
+        length *= LONGER
 
 
 def masks(
     docs: DataFrame, text: str = "text", part: str = "lang", id_column: str = "doc_id", trie_bytes: int = TRIE_BYTES,
-    prefix_bytes: int = PREFIX_BYTES,
+    prefix_bytes: int | None = None, range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """(id, part, mask) of every row: bit n is set if it fails filter n of A to E.
 
@@ -242,6 +244,10 @@ def masks(
     if its text is that of a row with a smaller id; rows alike in text and id
     are none of each other, and null ids come after all others. Long texts are
     compared in full. An empty table gives no rows; other columns are ignored.
+
+    ``prefix_bytes`` is the text that a prefix may hold before it grows; by
+    default a ``PREFIX_SHARE``-th of all text, but not less than ``LEAST_PREFIX``
+    and not more than a range.
     """
     rows = docs.select(
         F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), whole_text(text).alias("text")
@@ -255,8 +261,10 @@ def masks(
     held = held.withColumns({"head": F.substring("text", 1, HEAD), "bytes": F.octet_length("text"), "chars": F.length("text")})
     held = settle(held, "audit-rows")
     narrow = held.where("mask is not null").select("id", "part", "mask", "record")
-    texts = with_prefixes(held.where("mask is null").select("record", "own", "text", "head", "bytes", "chars"), prefix_bytes)
-    ranges = max(1, -(-(held.agg(F.sum("bytes")).first()[0] or 0) // prefix_bytes))
+    total = held.agg(F.sum("bytes")).first()[0] or 0
+    limit = prefix_bytes or min(range_bytes, max(LEAST_PREFIX, total // PREFIX_SHARE))
+    texts = with_prefixes(held.where("mask is null").select("record", "own", "text", "head", "bytes", "chars"), limit)
+    ranges = max(1, -(-total // range_bytes))
     placed = texts.where("not hot").select("prefix", "text", "record", "own").repartitionByRange(ranges, "prefix").sortWithinPartitions("prefix")
     least = placed.mapInArrow(_resolve(trie_bytes), "record long, least long")
     # A hot prefix is a whole text: minima are combined before they move, and joined back.

@@ -66,11 +66,11 @@ def items():
     return found + [(None, "", "en"), (None, "lonely", "en"), (None, "lonely", "de"), (7, "twice", "de"), (7, "twice", "de"), (-3, texts[0], "fr")]
 
 
-@pytest.mark.parametrize("trie_bytes, prefix_bytes", [(1, 60), (3_000, 900), (filter_audit.TRIE_BYTES, filter_audit.PREFIX_BYTES)])
+@pytest.mark.parametrize("trie_bytes, prefix_bytes", [(1, 60), (3_000, 900), (filter_audit.TRIE_BYTES, None)])
 def test_masks_against_brute_force(spark, items, trie_bytes, prefix_bytes):
     """Small tries forget early, small prefixes grow long; the answer stays."""
     docs = spark.createDataFrame([(i, t, p, "x", 1) for i, t, p in items], "doc_id long, text string, lang string, mask string, record int")
-    found = filter_audit.masks(docs.repartition(5), trie_bytes=trie_bytes, prefix_bytes=prefix_bytes)
+    found = filter_audit.masks(docs.repartition(5), trie_bytes=trie_bytes, prefix_bytes=prefix_bytes, range_bytes=prefix_bytes or filter_audit.RANGE_BYTES)
     assert rows(found, "id", "part", "mask") == brute_masks(items)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from retourlens.llm.licences import LEAST_SCORE, LOWER, TEMPLATES, TOKEN, UPPER
+from retourlens.llm.licences import LEAST_SCORE, LOWER, PARAGRAPH_END, SENTENCE_END, TEMPLATES, TOKEN, UPPER, listed
 
 OP1 = r"""
 with rows as (
@@ -97,13 +97,14 @@ from sets join (select x, min(y) as least_id from reached group by x) on x = doc
 """
 
 
-_VALUES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(sorted(TEMPLATES.items())))
+_LISTED = listed(TEMPLATES)
+_VALUES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(_LISTED))
 OP10 = rf"""
 with templates(place, licence, notice) as (values {_VALUES}),
 template_tokens as (
   select place, token, count(*) as n
   from (select place, unnest(regexp_extract_all(lower(notice), '{TOKEN}')) as token from templates) group by all),
-idf as (select token, ln((1.0 + {len(TEMPLATES)}) / (1 + count(*))) + 1 as idf from template_tokens group by token),
+idf as (select token, ln((1.0 + {len(_LISTED)}) / (1 + count(*))) + 1 as idf from template_tokens group by token),
 vectors as (
   select place, token, n * idf / sqrt(sum(n * idf * n * idf) over (partition by place)) as w
   from template_tokens join idf using (token)),
@@ -112,8 +113,11 @@ files as (
     case when doc_id % 10 = 0 then concat_ws('/', source, doc_id // 100, 'LICENSE')
       else concat_ws('/', source, doc_id // 100, doc_id // 10 % 10, doc_id || '.txt') end as path
   from documents),
+lines as (select doc_id, unnest(string_split(text, chr(10))) as passage from files),
 passages as (
-  select doc_id, unnest(string_split(text, chr(10))) as passage from files
+  from lines
+  union all select doc_id, unnest(regexp_split_to_array(passage, '{SENTENCE_END}')) from lines where regexp_matches(passage, '{SENTENCE_END}')
+  union all from (select doc_id, unnest(regexp_split_to_array(text, '{PARAGRAPH_END}')) as passage from files) where contains(passage, chr(10))
   union all select doc_id, text from files where named),
 numbered as (select row_number() over () as p, doc_id, passage from passages),
 tokens as (
@@ -121,7 +125,7 @@ tokens as (
   from (select p, doc_id, unnest(regexp_extract_all(translate(passage, '{UPPER}', '{LOWER}'), '{TOKEN}')) as token from numbered)
   group by all),
 lengths as (
-  select p, sqrt(sum(n * n * coalesce(idf, ln(1.0 + {len(TEMPLATES)}) + 1) * coalesce(idf, ln(1.0 + {len(TEMPLATES)}) + 1))) as length
+  select p, sqrt(sum(n * n * coalesce(idf, ln(1.0 + {len(_LISTED)}) + 1) * coalesce(idf, ln(1.0 + {len(_LISTED)}) + 1))) as length
   from tokens left join idf using (token) group by p),
 scores as (
   select p, doc_id, place, round(sum(n * idf * w) / any_value(length), 6) as score

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import heapq
 import json
-import uuid
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -27,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retourlens.llm.tables import free_name, whole_text, with_results
+from retourlens.llm.tables import free_name, giving_back, whole_text, with_results
 
 # The word pattern of byte-level BPE.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -71,6 +70,10 @@ class Vocabulary:
         #: Whether ids rank the merges, one way to make each token; a compiled merger can then be used.
         self.ranked = results == sorted(results) and len(set(made)) == len(made) == 256 + len(results)
 
+    def __getstate__(self) -> dict:
+        """What travels to tasks: the merges only if they are used there."""
+        return self.__dict__ | ({"merges": {}} if self.ranked else {})
+
 
 class Encoder:
     """Encodes words and texts with one vocabulary; remembers words it has seen."""
@@ -196,17 +199,6 @@ class Encoder:
         return np.frombuffer(packed, "<u4").tolist()
 
 
-_held: dict[str, Encoder] = {}
-
-
-def _encoder(name: str, shared) -> Encoder:
-    """This process's encoder for a broadcast vocabulary, kept from task to task."""
-    if name not in _held:
-        _held.clear()
-        _held[name] = Encoder(shared.value)
-    return _held[name]
-
-
 def _tree(encoder: Encoder, parts: list[tuple[list, list]]) -> tuple[list, list]:
     while len(parts) > 1:
         pairs = [parts[i : i + 2] for i in range(0, len(parts), 2)]
@@ -239,7 +231,7 @@ def _mapper(text: str, carry: list[str], output: str, kind: pa.DataType, convert
                 made = pa.array([work(v.as_py()) for v in part.column(text)], kind)
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in carry], made], [*carry, output])
 
-    return run
+    return giving_back(run)
 
 
 def _schema(df: DataFrame, carry: list[str], *added: T.StructField) -> T.StructType:
@@ -261,19 +253,19 @@ def encode(
     """
     docs = docs if carry else with_results(docs, [output])
     carry = [c for c in (carry or docs.columns)]
-    shared, name = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary_path)), uuid.uuid4().hex
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary_path))
     value = free_name(docs, "value")
     rows = docs.select(*carry, whole_text(text).alias(value))
     long = F.length(value) > piece_chars
     ids = T.StructField(output, T.BinaryType())
-    one_by_one = _mapper(value, carry, output, pa.binary(), lambda: _encoder(name, shared).text)
+    one_by_one = _mapper(value, carry, output, pa.binary(), lambda: Encoder(shared.value).text)
     short = rows.where(~long).mapInArrow(one_by_one, _schema(rows, carry, ids))
 
     key = free_name(docs, "key")
     keyed = rows.where(long).withColumn(key, F.sha2(value, 256))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(name, shared)
+        encoder = Encoder(shared.value)
         for batch in batches:
             for own, whole in zip(batch["key"], batch["value"]):
                 parts = [
@@ -284,7 +276,7 @@ def encode(
                 yield pd.DataFrame(parts, columns=["key", "stretch", "piece", "part"])
 
     def leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(name, shared)
+        encoder = Encoder(shared.value)
         for batch in batches:
             words = [
                 [p] if s % 2 else encoder.find(p) for s, p in zip(batch["stretch"], batch["part"])
@@ -300,18 +292,24 @@ def encode(
                 "packed": [b"".join(bs) for bs in packed],
             })
 
-    def whole(group: pd.DataFrame) -> pd.DataFrame:
-        encoder, out = _encoder(name, shared), []
-        group = group.sort_values(["stretch", "piece"])
-        for _, pieces in group.groupby("stretch"):
-            parts = []
-            for row in pieces.itertuples():
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Texts arrive one after another, their pieces in order."""
+        encoder, current, stretch, parts, out = Encoder(shared.value), None, None, [], []
+        for batch in batches:
+            for row in batch.itertuples():
+                if parts and (row.key, row.stretch) != (current, stretch):
+                    out += _tree(encoder, parts)[1]
+                    parts = []
+                if current is not None and row.key != current:
+                    yield pd.DataFrame({"key": [current], "packed": [b"".join(out)]})
+                    out = []
+                current, stretch = row.key, row.stretch
                 ends = np.cumsum(np.frombuffer(row.chars, "<u4")).tolist()
                 stops = (4 * np.cumsum(np.frombuffer(row.counts, "<u4"))).tolist()
                 words = [row.part[a:b] for a, b in zip([0, *ends], ends)]
                 parts.append((words, [row.packed[a:b] for a, b in zip([0, *stops], stops)]))
-            out += _tree(encoder, parts)[1]
-        return pd.DataFrame({"key": group["key"].iloc[:1], "packed": [b"".join(out)]})
+        if current is not None:
+            yield pd.DataFrame({"key": [current], "packed": [b"".join(out + _tree(encoder, parts)[1])]})
 
     texts = keyed.select(F.col(key).alias("key"), F.col(value).alias("value")).dropDuplicates(["key"])
     pieces = texts.mapInPandas(cut, "key string, stretch long, piece long, part string")
@@ -319,7 +317,8 @@ def encode(
     encoded = spread.mapInPandas(
         leaves, "key string, stretch long, piece long, part string, chars binary, counts binary, packed binary"
     )
-    joined = encoded.groupBy("key").applyInPandas(whole, "key string, packed binary")
+    met = encoded.repartition("key").sortWithinPartitions("key", "stretch", "piece")
+    joined = met.mapInPandas(whole, "key string, packed binary")
     joined = joined.select(F.col("key").alias(key), F.col("packed").alias(output))
     return short.unionByName(keyed.join(joined, key).select(*carry, output))
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retourlens.llm.tables import SPACE, free_name, whole_text
+from retourlens.llm.tables import SPACE, free_name, giving_back, whole_text
 from retourlens.session import settle
 
 #: Text that one task's table may hold, and the least number of buckets.
@@ -98,7 +98,7 @@ def _collapser(limit: int):
                     table = ContentTable()
         yield from _batches(table.entries)
 
-    return collapse
+    return giving_back(collapse)
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +156,7 @@ def distinct_contents(records: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> D
     for other, _ in ready[1:]:
         rows = rows.unionByName(other.select(columns))
     placed = rows.repartition(sum(n for _, n in ready), "bucket").sortWithinPartitions("bucket")
-    return placed.mapInArrow(_finish, KEPT)
+    return placed.mapInArrow(giving_back(_finish), KEPT)
 
 
 def mark_copies(

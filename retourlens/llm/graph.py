@@ -34,5 +34,7 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)

@@ -30,15 +30,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retourlens.llm.graph import connected_components
-from retourlens.llm.tables import free_name, whole_text
+from retourlens.llm.tables import free_name, give_back, whole_text
 from retourlens.session import settle
 
 #: At most this many frequent shingles are put last; a hint that changes no result.
 FREQUENT = 100_000
 #: Shingles counted at once in a task, and how often one must occur there to be passed on.
 COUNT_AT_ONCE, LEAST_COUNT = 2_000_000, 4
-#: Words whose hashes a process remembers.
-CACHE_WORDS = 100_000
+#: Words whose hashes a process remembers, and rows that are shingled at once.
+CACHE_WORDS, ROWS_AT_ONCE = 50_000, 1_000
 #: Rows of a frequent shingle's bucket, members of a group's part, queries that meet it in one task.
 BUCKET_ROWS, PART_MEMBERS, PART_QUERIES = 4096, 128, 256
 
@@ -58,6 +58,25 @@ class _Words(dict):
 _words = _Words()
 
 
+def forget() -> None:
+    """Drop the words that this process remembers."""
+    _words.clear()
+
+
+def forgetting(run):
+    """A task's function that leaves no remembered words in the worker it ran in."""
+
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            # By its name, so that the module's own words are meant, not a copy sent along.
+            forget()
+            give_back()
+
+    return task
+
+
 def shingles(text: str, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the runs of ``words`` words, A-Z in lower case.
 
@@ -80,23 +99,30 @@ def _frequent_shingles(texts: DataFrame, words: int, most: int) -> tuple[np.ndar
     """Sorted frequent shingles and the power of two of their counts, over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        # One buffer for the whole task, sorted where it lies.
+        held, size = np.empty(COUNT_AT_ONCE, np.int64), 0
 
         def result() -> pa.RecordBatch:
-            tokens, counts = np.unique(np.concatenate(held or [np.zeros(0, np.int64)]), return_counts=True)
+            run = held[:size]
+            run.sort()
+            starts = np.flatnonzero(np.concatenate(([size > 0], run[1:] != run[:-1])))
+            counts = np.diff(starts, append=size)
             often = counts >= LEAST_COUNT
-            return pa.RecordBatch.from_arrays([pa.array(tokens[often]), pa.array(counts[often])], ["token", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(run[starts[often]]), pa.array(counts[often])], ["token", "n"])
 
         for batch in batches:
             for item in batch.column(0):
-                held.append(shingles(item.as_py(), words))
-                size += len(held[-1])
-                if size >= COUNT_AT_ONCE:
-                    yield result()
-                    held, size = [], 0
+                found = shingles(item.as_py(), words)
+                while len(found):
+                    part, found = np.split(found, [COUNT_AT_ONCE - size])
+                    held[size : size + len(part)] = part
+                    size += len(part)
+                    if size == COUNT_AT_ONCE:
+                        yield result()
+                        size = 0
         yield result()
 
-    counted = texts.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(forgetting(count), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     counted = settle(counted.select("token", F.log2("n").cast("int").alias("power")), "jaccard-counts")
     # The rarest power of two whose shingles, with all above, are few enough.
     least, total = 64, 0
@@ -137,32 +163,37 @@ def _shingled(docs: DataFrame, text: str, id_column: str, words: int, percent: i
     value = free_name(docs, "value")
     rows = docs.select(F.col(id_column).alias("id"), whole_text(text).alias(value)).withColumn("text_key", F.xxhash64(value))
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    prefix = pa.list_(pa.struct([("token", pa.int64()), ("power", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, powers = shared.value
-        for batch in batches:
-            sizes, digests, prefixes = [], [], []
-            for item in batch.column(value):
-                found = shingles(item.as_py(), words)
-                n = len(found)
-                sizes.append(n)
-                digests.append(xxhash.xxh3_128_digest(found.tobytes()) if n else None)
-                power = np.zeros(n, np.int32)
-                if len(tokens) and n:
-                    at = np.minimum(np.searchsorted(tokens, found), len(tokens) - 1)
-                    power = np.where(tokens[at] == found, powers[at], 0)
-                order = np.lexsort((found, power))[: n - -(-percent * n // 100) + 1] if n else np.zeros(0, int)
-                prefixes.append([{"token": t, "power": p} for t, p in zip(found[order].tolist(), power[order].tolist())])
-            columns = [batch.column("id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(prefixes, prefix)]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "text_key", "n", "digest", "prefix"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(at, ROWS_AT_ONCE)
+                sizes, digests, ends, entries = [], [], [0], []
+                for item in batch.column(value):
+                    found = shingles(item.as_py(), words)
+                    n = len(found)
+                    sizes.append(n)
+                    digests.append(xxhash.xxh3_128_digest(found.tobytes()) if n else None)
+                    power = np.zeros(n, np.int32)
+                    if len(tokens) and n:
+                        near = np.minimum(np.searchsorted(tokens, found), len(tokens) - 1)
+                        power = np.where(tokens[near] == found, powers[near], 0).astype(np.int32)
+                    order = np.lexsort((found, power))[: n - -(-percent * n // 100) + 1] if n else np.zeros(0, int)
+                    entries.append((found[order], power[order]))
+                    ends.append(ends[-1] + len(order))
+                # Columns of numbers, not an object for each entry.
+                flat = [pa.array(np.concatenate(column)) for column in zip(*entries)]
+                prefixes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(flat, ["token", "power"]))
+                columns = [batch.column("id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), prefixes]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "text_key", "n", "digest", "prefix"])
 
     kind = T.ArrayType(T.StructType([T.StructField("token", T.LongType()), T.StructField("power", T.IntegerType())]))
     schema = T.StructType([
         rows.schema["id"], T.StructField("text_key", T.LongType()), T.StructField("n", T.LongType()),
         T.StructField("digest", T.BinaryType()), T.StructField("prefix", kind),
     ])
-    made = rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
+    made = rows.mapInArrow(forgetting(run), schema).withColumn("row", F.monotonically_increasing_id())
     # Written before the numbers are used, so that they cannot change.
     return settle(made, "jaccard-docs")
 
@@ -286,7 +317,7 @@ def _open(members: DataFrame, asks: DataFrame, texts: DataFrame, words: int, per
             yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
             links = []
 
-    return placed.select(*columns, "text").mapInPandas(compare, "a long, b long")
+    return placed.select(*columns, "text").mapInPandas(forgetting(compare), "a long, b long")
 
 
 class _Part:

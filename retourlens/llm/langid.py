@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retourlens.llm.tables import free_name
+from retourlens.llm.tables import free_name, giving_back
 from retourlens.session import settle
 
 #: Hash buckets of character n-grams, and the longest n-gram.
@@ -136,7 +136,7 @@ def fit(
     which grows with the number of languages only. Without rows it knows none.
     """
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    counted = rows.select("text").mapInArrow(_document_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = rows.select("text").mapInArrow(giving_back(_document_counts), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     frequency = np.zeros(DIMS + 1)
     for gram, n in counted.collect():
         frequency[gram] = n
@@ -209,6 +209,23 @@ def identify(docs: DataFrame, model: Model, text: str = "text", carry: list[str]
 
 
 def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` without the rows that are rejected."""
-    boxed = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
-    return identify(boxed, model, carry=["row"]).where("not rejected").select("row.*")
+    """``docs`` without the rows that ``identify`` rejects; all columns stay, whatever their names.
+
+    Texts that are null or have no letter go. If ``model`` knows no language, as
+    when every label is null, no other text is rejected: nothing can be too far
+    from what was not learned. Repeated rows are judged alike; an empty table
+    stays empty. Only the text goes to Python, the flag comes back.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = shared.value
+        fits = (lambda t: not known.predict(t)[2]) if known.languages else (lambda t: ngram_counts(t or "")[1] > 0)
+        for texts in batches:
+            yield texts.map(fits).astype(bool)
+
+    @F.pandas_udf("boolean")
+    def stays(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from giving_back(run)(batches)
+
+    return docs.where(stays(F.col(text)))

@@ -145,7 +145,16 @@ def mix_sources(
     )
 
 
-def take(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """The mix itself: each row as often as it is taken."""
-    once = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return mixed.where("copies > 0").select(*columns, once.alias("__copy")).select(*columns)
+def take(
+    docs: DataFrame, text: str = "text", id_column: str = "doc_id", source: str = "source", **settings
+) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as ``mix_sources`` takes it.
+
+    All columns stay as they are, whatever their names; a row without words, or
+    of a source that gets none, may be taken never. Rows alike in id and text
+    share one fate.
+    """
+    boxed = docs.select(F.struct("*").alias("row"))
+    mixed = mix_sources(boxed, text=f"row.{text}", id_column=f"row.{id_column}", source=f"row.{source}", **settings)
+    once = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("once")
+    return mixed.where("copies > 0").select("row", once).select("row.*")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retourlens.llm.graph import connected_components
-from retourlens.llm.jaccard import shingles
+from retourlens.llm.jaccard import forgetting, shingles
 from retourlens.llm.tables import free_name, whole_text
 from retourlens.session import settle
 
@@ -91,7 +91,7 @@ def _signed(docs: DataFrame, text: str, id_column: str, words: int, signer: Sign
         rows.schema["id"], T.StructField("text_key", T.LongType()), T.StructField("n", T.LongType()),
         T.StructField("digest", T.BinaryType()), T.StructField("hashes", T.ArrayType(T.LongType())),
     ])
-    made = rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
+    made = rows.mapInArrow(forgetting(run), schema).withColumn("row", F.monotonically_increasing_id())
     # Written before the numbers are used, so that they cannot change.
     return settle(made, "near-rows")
 
@@ -177,7 +177,7 @@ def _links(placed: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
                 meeting.add(rid, shingles(text, words), asks, asked)
         yield meeting.links()
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(forgetting(run), "a long, b long")
 
 
 class Meeting:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +38,26 @@ def with_results(df: DataFrame, results: list[str]) -> DataFrame:
 def table_bytes(df: DataFrame) -> int:
     """Size of a table read from files, as Spark's planner sees it."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def give_back() -> None:
+    """Return free memory of this process to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function whose worker does not keep what the task has freed.
+
+    Workers outlive their tasks, and several wait beside those at work.
+    """
+
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task

@@ -3,6 +3,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from retourlens.llm import langid
 from tests.llm.helpers import documents
 
@@ -67,3 +69,11 @@ def test_nothing_to_learn_from(spark):
     found = langid.identify(documents(spark, ["some text"]), empty).first()
     assert (found["lang_pred"], found["score"]) == ("und", 0.0)
     assert langid.identify(documents(spark, []), empty).count() == 0
+
+
+def test_no_language_learned_keeps_texts_with_letters(spark):
+    docs = documents(spark, ["some words", None, "12 !!", "", "more"], lang=[None] * 5).withColumn("Score", F.lit(1)).withColumn("row", F.lit("x"))
+    model = langid.fit(docs)
+    assert model.languages == []
+    kept = langid.keep_identified(docs, model)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 4]

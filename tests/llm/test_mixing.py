@@ -55,7 +55,7 @@ def test_reruns_agree_and_partitioning_does_not_matter(docs):
 def test_take_repeats_rows(docs):
     mixed = mixing.mix_sources(docs)
     total = mixed.agg(F.sum("copies")).first()[0]
-    mix = mixing.take(mixed, docs.columns)
+    mix = mixing.take(docs)
     assert mix.columns == docs.columns and mix.count() == total
 
 
@@ -71,3 +71,15 @@ def test_texts_without_words_and_empty_table(spark):
     found = mixing.mix_sources(documents(spark, ["", None, "  "])).collect()
     assert [(r["size"], r["source_size"], r["target"], r["taken"]) for r in found] == [(0, 0, 0.0, 0)] * 3
     assert mixing.mix_sources(documents(spark, [])).count() == 0
+
+
+def test_take_keeps_columns_of_any_name(spark, docs):
+    """Names of the operator's own results belong to the document."""
+    named = docs.selectExpr("*", "1 as size", "'x' as target", "2 as Copies", "3 as __copy", "4 as once", "5 as `row`")
+    found = mixing.take(named)
+    assert found.columns == named.columns
+    copies = {r["doc_id"]: r["copies"] for r in mixing.mix_sources(docs, keep_text=False).collect()}
+    got = found.collect()
+    assert all((r["size"], r["target"], r["Copies"], r["__copy"], r["once"], r["row"]) == (1, "x", 2, 3, 4, 5) for r in got)
+    taken = [r["doc_id"] for r in got]
+    assert {i: taken.count(i) for i in set(taken)} == {i: c for i, c in copies.items() if c}

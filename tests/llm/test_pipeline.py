@@ -1,8 +1,11 @@
+import pickle
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from retourlens.llm import bpe, langid, mixing
+from retourlens.llm import bpe, jaccard, langid, mixing
 from retourlens.llm.queries import byte_bpe_50k
 from retourlens.session import settle
 from tests.llm.helpers import SMALL, documents, needs_tables
@@ -87,3 +90,34 @@ def test_stages_on_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = settle(stage(spark, docs, SMALL), "pipeline-empty")
         assert docs.count() == 0
+
+
+def test_stages_leave_nothing_in_their_workers(spark, stages):
+    """Words that a stage remembers are gone when its tasks end; encoders belong to a task."""
+    import pandas as pd
+
+    def held(batches):
+        for _ in batches:
+            yield pd.DataFrame({"words": [len(jaccard._words)]})
+
+    found = spark.range(64, numPartitions=16).mapInPandas(held, "words long").collect()
+    assert len(found) >= 16 and all(r["words"] == 0 for r in found)
+    shipped = pickle.loads(pickle.dumps(bpe.Vocabulary(byte_bpe_50k())))
+    assert shipped.ranked and not shipped.merges and not hasattr(bpe, "_held")
+
+
+def test_stages_with_clashing_columns_nulls_and_ties(spark):
+    """Names that operators use inside belong to the documents; defined results for gaps."""
+    texts = ["alpha beta gamma delta epsilon zeta " * 9] * 3 + ["one two three four five six seven " * 9, None, "", "x" * 70_000, "12 34"]
+    names = ["row", "size", "Copies", "__copy", "target", "score", "rejected", "keep_id", "kept", "key", "hash", "content", "sha", "value"]
+    docs = documents(spark, texts, lang=["en", None] * 4, source=[None, "s"] * 4)
+    docs = docs.union(docs.limit(1)).select("*", *[F.lit(n).alias(n) for n in names])
+    left = []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = settle(stage(spark, docs, SMALL), "pipeline-clash")
+        assert docs.columns[5:] == names
+        assert all(tuple(r[n] for n in names) == tuple(names) for r in docs.collect())
+        left.append(sorted(r["doc_id"] for r in docs.collect()))
+    assert left[0] == [0, 0, 1, 2, 3, 6] and left[1] == left[2] == [0, 3, 6]
+    encoded = corpus_pipeline.encode(spark, docs, SMALL)
+    assert {r["doc_id"] for r in encoded.collect()} <= {0, 3, 6}

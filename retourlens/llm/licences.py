@@ -163,12 +163,36 @@ def _map(values: dict, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(values)), f"map<string,{kind}>")
 
 
-def _score(passage: Column, weights: Weights) -> Column:
-    """Best (score, minus the template's number) of a passage; ties to the first template."""
+def any_of(words: list[str]) -> str:
+    """A pattern for one of the words, which shares their beginnings so that few are tried at a place."""
+    if len(words) < 2:
+        return re.escape("".join(words))
+    groups: dict[str, list[str]] = {}
+    for word in words:
+        groups.setdefault(word[:1], []).append(word[1:])
+    ends = "" in groups
+    parts = [re.escape(first) + any_of(sorted(set(rest))) for first, rest in sorted(groups.items()) if first]
+    return f"(?:{'|'.join(parts)})" + "?" * ends
+
+
+def _score(passage: Column, weights: Weights, least: float) -> Column:
+    """Best (score, minus the template's number) of a passage; ties to the first template.
+
+    Null if the score must be under ``least``: unknown tokens lengthen a passage
+    without adding to its part along any template, which is at most as long as if
+    all its known tokens were one of the rarest.
+    """
     tokens = F.regexp_extract_all(F.translate(passage, UPPER, LOWER), F.lit(f"({TOKEN})"))
     shares = {token: [vector.get(token, 0.0) * idf for _, vector in weights.templates] for token, idf in weights.idf.items()}
 
-    def best(words: Column) -> Column:
+    top = max(weights.idf.values(), default=0.0)
+
+    def near(both: Column) -> Column:
+        along = F.pow(F.size(both["known"]) * F.lit(top), F.lit(2.0))
+        aside = (F.size(both["words"]) - F.size(both["known"])) * F.lit(weights.other**2)
+        return along >= F.lit(least * least * 0.999) * (along + aside)
+
+    def best(words: Column, known: Column) -> Column:
         start = F.struct(F.lit("").alias("token"), F.lit(0.0).alias("n"), F.lit(0.0).alias("sum"))
         weight = lambda t: F.coalesce(F.try_element_at(_map(weights.idf, "double"), t), F.lit(weights.other))
 
@@ -179,8 +203,8 @@ def _score(passage: Column, weights: Weights) -> Column:
             return F.struct(token.alias("token"), (n + 1).alias("n"), (state["sum"] + more).alias("sum"))
 
         length = F.aggregate(F.array_sort(words), start, run, lambda s: F.sqrt(s["sum"]))
-        known = F.filter(F.transform(words, lambda t: F.try_element_at(_map(shares, "array<double>"), t)), lambda v: v.isNotNull())
-        dots = F.aggregate(known, F.array_repeat(F.lit(0.0), len(weights.templates)), lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
+        vectors = F.transform(known, lambda t: F.try_element_at(_map(shares, "array<double>"), t))
+        dots = F.aggregate(vectors, F.array_repeat(F.lit(0.0), len(weights.templates)), lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
         both = F.array(F.struct(dots.alias("dots"), length.alias("length")))
 
         def scores(b: Column) -> Column:
@@ -189,7 +213,9 @@ def _score(passage: Column, weights: Weights) -> Column:
         return F.array_max(F.element_at(F.transform(both, scores), 1))
 
     # Arrays of one, so that tokens, and then their sums, are worked out once.
-    return F.element_at(F.transform(F.array(tokens), lambda words: F.when(F.size(words) > 0, best(words))), 1)
+    split = F.transform(F.array(tokens), lambda t: F.struct(t.alias("words"), F.filter(t, lambda w: w.isin(list(weights.idf))).alias("known")))
+    scored = lambda both: F.when((F.size(both["words"]) > 0) & near(both), best(both["words"], both["known"]))
+    return F.element_at(F.transform(split, scored), 1)
 
 
 def own_licences(
@@ -201,8 +227,8 @@ def own_licences(
     lines, and, for files named as licences, the whole text; all of them with a
     token that a licence notice must have.
     """
-    must = "|".join(re.escape(a) for a in weights.anchors(least))
-    may = lambda passage: passage.rlike(rf"(?i)(?<![a-z0-9])(?:{must})(?![a-z0-9])")
+    must = any_of(weights.anchors(least))
+    may = lambda passage: passage.rlike(rf"(?i)(?<![a-z0-9]){must}(?![a-z0-9])")
     named = F.coalesce(F.regexp_extract(path, r"([^/]*)$", 1).rlike(LICENCE_FILE), F.lit(False))
 
     def passages(whole: Column) -> Column:
@@ -212,7 +238,7 @@ def own_licences(
         return F.concat(lines, sentences, paragraphs, F.when(named, F.array(whole)).otherwise(F.array().cast("array<string>")))
 
     texts = F.filter(F.array(whole_text(text)), may)
-    best = F.array_max(F.transform(F.flatten(F.transform(texts, passages)), lambda p: _score(p, weights)))
+    best = F.array_max(F.transform(F.flatten(F.transform(texts, passages)), lambda p: _score(p, weights, least)))
     names = F.lit([name for name, _ in weights.templates])
     licence = F.element_at(names, (1 - best["place"]).cast("int"))
     return F.when(best["score"] >= least, F.struct(best["score"].alias("score"), licence.alias("licence")))

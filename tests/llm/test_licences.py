@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -129,3 +130,16 @@ def test_long_licence_file_and_empty_table(spark):
     long = "\n".join(["word another third"] * 30_000 + [licences.TEMPLATES["MIT"][0]])
     assert scan(spark, [("p/LICENSE", long)]).first()["own_licence"] == "MIT"
     assert scan(spark, []).count() == 0
+
+
+def test_shared_beginnings_match_the_same_words():
+    words = licences.Weights.of(licences.TEMPLATES).anchors(0.8)
+    pattern = re.compile(rf"(?<![a-z0-9]){licences.any_of(words)}(?![a-z0-9])")
+    plain = re.compile(rf"(?<![a-z0-9])(?:{'|'.join(map(re.escape, words))})(?![a-z0-9])")
+    r = random.Random(4)
+    for _ in range(3000):
+        word = r.choice(words)
+        at = r.randrange(len(word) + 1)
+        text = r.choice([word, word[:at], word + "s", "x" + word, f"{word[:at]}-{word}", f"a {word}."])
+        assert bool(pattern.search(text)) == bool(plain.search(text))
+    assert all(pattern.search(w)[0] for w in words)

@@ -152,7 +152,9 @@ def _score(kind: str, text: str, start: int, end: int, checked: bool) -> float:
 
 def find_spans(text: str, least: float = LEAST_SCORE) -> list[Span]:
     """Spans of a text by start, then kind. Those of the first four kinds always
-    stay, whatever their score; others need ``least`` and may not overlap them."""
+    stay, whatever their score; others need ``least``, and those that no checksum
+    confirms may not overlap them. A confirmed account stays beside a card that
+    its digits make by chance."""
     base = [
         Span(kind, start, end, _score(kind, text, start, end, checked))
         for kind in BASE_KINDS for start, end, checked in PROPOSE[kind](text)
@@ -169,7 +171,7 @@ def find_spans(text: str, least: float = LEAST_SCORE) -> list[Span]:
         for start, end, checked in PROPOSE[kind](text):
             at = bisect_right(starts, end - 1) - 1
             score = _score(kind, text, start, end, checked)
-            if score >= least and (at < 0 or covered[at][1] <= start):
+            if score >= least and (checked or at < 0 or covered[at][1] <= start):
                 more.append(Span(kind, start, end, score))
     return sorted([*base, *more], key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 
@@ -218,8 +220,8 @@ def detect(
 def redact(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
     """``docs`` with each span of ``text`` replaced by its kind in brackets.
 
-    Of spans that overlap the one that starts first is replaced; a null text
-    stays null.
+    Spans that overlap are replaced together, by the kind of the one that starts
+    first; a null text stays null.
     """
     step = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at"))
     body = F.col(text)
@@ -229,7 +231,8 @@ def redact(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFra
         replaced = F.struct(
             F.concat(state["done"], between, F.lit("["), span["kind"], F.lit("]")).alias("done"), span["end"].alias("at")
         )
-        return F.when(span["start"] >= state["at"], replaced).otherwise(state)
+        longer = F.struct(state["done"].alias("done"), F.greatest(state["at"], span["end"]).alias("at"))
+        return F.when(span["start"] >= state["at"], replaced).otherwise(longer)
 
     rest = lambda s: F.concat(s["done"], F.substring(body, (s["at"] + 1).cast("int"), F.lit(1 << 30)))
     return docs.withColumn(text, F.aggregate(spans, step, put, rest))

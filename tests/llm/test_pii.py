@@ -89,6 +89,28 @@ def test_accounts_of_all_countries(country, length):
     assert [s.kind for s in pii.find_spans(f"konto {number}.")].count("iban") == 1
 
 
+def test_every_confirmed_account_is_found():
+    """Also those whose digits are a card by chance, which stays beside them."""
+    r, beside = random.Random(97), 0
+    for country, length in pii.IBAN_LENGTHS.items():
+        for _ in range(200):
+            number = account(country, "".join(r.choice("0123456789") for _ in range(length - 4)))
+            text = f"iban konto {number}"
+            spans = pii.find_spans(text)
+            assert [text[s.start : s.end] for s in spans if s.kind == "iban"] == [number]
+            assert base(text) == brute(text)
+            beside += len(spans) > 1
+    assert beside > 100
+
+
+def test_overlapping_spans_are_hidden_together(spark):
+    number = next(n for n in (account("AT", f"{i:016d}") for i in range(4222 * 10**12, 4223 * 10**12)) if brute(n))
+    docs = documents(spark, [f"iban {number}-7 end", f"iban {number}"])
+    hidden = [r["text"] for r in pii.redact(pii.detect(docs)).orderBy("doc_id").collect()]
+    assert not any(c.isdigit() for c in hidden[1]) and hidden[1] == "iban [iban]"
+    assert hidden[0].startswith("iban [iban]") and hidden[0].endswith(" end")
+
+
 def test_context_raises_and_lowers_scores():
     score = lambda text: next(s.score for s in pii.find_spans(text) if s.kind == "ip")
     assert score("version 1.2.3.4") < score("see 1.2.3.4") < score("host 1.2.3.4")

@@ -131,9 +131,10 @@ def fit(
     """Learn from rows with text and language; rows without are left out.
 
     Document frequencies count every row. Centroids and similarities come from
-    about ``sample_per_language`` whole texts of each language, chosen by a hash
-    of the text, clustered in one task a language. The driver holds the result,
-    which grows with the number of languages only. Without rows it knows none.
+    about ``sample_per_language`` different whole texts of each language, chosen by
+    a hash of the text and taken once however many copies there are, clustered in
+    one task a language. The driver holds the result, which grows with the number
+    of languages only. Without rows it knows none.
     """
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
     counted = rows.select("text").mapInArrow(giving_back(_document_counts), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -143,9 +144,10 @@ def fit(
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
 
     # Written, so that Spark knows how small it is and leaves the texts where they are.
-    sizes = settle(rows.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
+    sizes = settle(rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("texts")), "languages")
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.join(sizes, "lang").where(place * F.col("rows") < sample_per_language).select("lang", "text")
+    # Copies are chosen together, so they collapse within their tasks, before anything moves.
+    sample = rows.join(sizes, "lang").where(place * F.col("texts") < sample_per_language).select("lang", "text").distinct()
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
         made = [(tfidf(c, idf), size) for c, size in map(ngram_counts, sorted(group["text"])) if size]

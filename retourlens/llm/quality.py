@@ -174,16 +174,18 @@ def _with_statistics(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "quality", fit_rows: int = FIT_ROWS, **settings) -> Forest:
-    """Fit on about ``fit_rows`` of the labelled rows, chosen by a hash of the text.
+    """Fit on about ``fit_rows`` different labelled texts, chosen by a hash of the text.
 
+    Copies of a text, however many, are one row with the mean of their labels.
     Rows without a label are left out; null texts count as empty. Rows are taken
     in a fixed order, so a repeated fit gives the same model. Without rows every
     score is 0.5.
     """
-    rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("double").alias("label")).where("label is not null")
-    count = rows.count()
-    place = F.pmod(F.xxhash64(whole_text("text"), F.lit(8)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.where(place * max(count, 1) < fit_rows)
+    rows = labelled.select(whole_text(text).alias("text"), F.col(label).cast("double").alias("label")).where("label is not null")
+    different = rows.agg(F.approx_count_distinct(F.xxhash64("text"))).first()[0]
+    place = F.pmod(F.xxhash64("text", F.lit(8)), F.lit(1 << 30)) / float(1 << 30)
+    # Copies are chosen together, so they collapse within their tasks, before anything moves.
+    chosen = rows.where(place * max(different, 1) < fit_rows).groupBy("text").agg(F.avg("label").alias("label"))
     got = sorted((tuple(r["statistics"]), r["label"]) for r in _with_statistics(chosen, "text", ["label"]).collect())
     matrix = np.array([s for s, _ in got]).reshape(-1, len(STATISTICS))
     return fit_trees(matrix, np.array([y for _, y in got]), **settings)

@@ -77,3 +77,14 @@ def test_no_language_learned_keeps_texts_with_letters(spark):
     assert model.languages == []
     kept = langid.keep_identified(docs, model)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 4]
+
+
+def test_copies_do_not_fill_the_sample(spark, monkeypatch):
+    """A text that half of all rows share is one text of at most about the stated number."""
+    seen = []
+    monkeypatch.setattr(langid, "_least", lambda near, classes, part: seen.append(len(near)) or np.zeros(langid.LENGTH_CLASSES))
+    texts = [sentence("en", i) + f" {chr(97 + i % 26) * 3}{chr(97 + i // 26) * 4}" for i in range(400)]
+    langid.fit(documents(spark, texts + [texts[r] for r in (3, 5, 7, 11)] * 200), sample_per_language=40)
+    assert 15 <= seen[0] <= 80
+    langid.fit(documents(spark, ["the one text of all rows"] * 500), sample_per_language=40)
+    assert seen[1] == 1

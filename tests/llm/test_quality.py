@@ -52,3 +52,16 @@ def test_nulls_repeats_clashes_and_empty_tables(spark):
     assert found.columns == ["doc_id", "text", "statistics", "n_chars", "score", "predicted"]
     assert [r["score"] for r in found.collect()] == [0.5] * 4
     assert quality.score(documents(spark, []), forest).count() == 0
+
+
+def test_copies_do_not_fill_the_sample(spark, monkeypatch):
+    """Copies are one row with the mean of their labels, so a text of half of all rows leaves the bound as it is."""
+    seen = []
+    monkeypatch.setattr(quality, "fit_trees", lambda rows, labels, **_: seen.append((len(rows), sorted(labels))))
+    texts = [prose(i, 20, 5000) for i in range(400)]
+    docs = documents(spark, texts + texts[:4] * 100).withColumn("quality", (F.col("doc_id") % 8 < 3).cast("int"))
+    quality.fit(docs, fit_rows=60)
+    assert 25 <= seen[0][0] <= 110
+    same = documents(spark, ["one text"] * 40 + [None, ""]).withColumn("quality", (F.col("doc_id") % 4 == 0).cast("int"))
+    quality.fit(same, fit_rows=60)
+    assert seen[1] == (2, [0.25, 0.5])

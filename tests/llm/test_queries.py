@@ -9,9 +9,11 @@ import zlib
 import numpy as np
 import pytest
 
+from retourlens.llm import pii
 from retourlens.llm.oracle import all_sql
 from retourlens.llm.queries import all_queries, byte_bpe_50k
 from tests.llm.helpers import SMALL, needs_tables, rows, sql_rows
+from tests.llm.test_pii import brute
 
 pytestmark = needs_tables
 
@@ -62,9 +64,17 @@ def test_quality_of_held_out_texts(spark):
     assert all((r["score"] >= 0.5) == (r["predicted"] == 1) for r in found)
 
 
-def test_pii_queries_cover_every_document(spark, texts):
-    found = all_queries()["op4_pii"](spark, SMALL).collect()
-    assert sorted(r["doc_id"] for r in found) == sorted(texts)
+def test_pii_base_columns_against_plain_patterns(spark, texts):
+    found = {r["doc_id"]: r for r in all_queries()["op4_pii"](spark, SMALL).collect()}
+    assert sorted(found) == sorted(texts)
+    for doc_id, (text, _) in texts.items():
+        spans = [f"{pii.KINDS[kind]}:{start}:{end}" for start, kind, end in brute(text or "")]
+        row = found[doc_id]
+        assert row["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        for kind in pii.BASE_KINDS:
+            assert row[f"n_{kind}"] == sum(s.startswith(f"{kind}:") for s in spans)
+        everything = row["spans"].split(",")
+        assert [s for s in everything if s.split(":")[0] in pii.BASE_KINDS] == spans
 
 
 def test_entry_works_without_the_subpackage(tmp_path):

@@ -159,6 +159,15 @@ def distinct_contents(records: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> D
     return placed.mapInArrow(giving_back(_finish), KEPT)
 
 
+def _groups(docs: DataFrame, text: str, id_column: str, bucket_bytes: int) -> DataFrame:
+    """(sha, keep_id, copies) of each group of equal texts, written."""
+    records = docs.select(
+        F.xxhash64(normalised(text)).alias("hash"), normalised(text).alias("content"),
+        F.col(id_column).cast("long").alias("keep_id"), F.lit(1).cast("long").alias("copies"),
+    )
+    return settle(distinct_contents(records, bucket_bytes), "dedup-groups")
+
+
 def mark_copies(
     docs: DataFrame, text: str = "text", id_column: str = "doc_id", bucket_bytes: int = BUCKET_BYTES,
     carry: list[str] | None = None,
@@ -175,11 +184,7 @@ def mark_copies(
     results = ["keep_id", "group_size", "kept", "text_sha256"]
     carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in results]
     content, sha = free_name(docs, "content"), free_name(docs, "sha")
-    records = docs.select(
-        F.xxhash64(normalised(text)).alias("hash"), normalised(text).alias("content"),
-        F.col(id_column).cast("long").alias("keep_id"), F.lit(1).cast("long").alias("copies"),
-    )
-    groups = settle(distinct_contents(records, bucket_bytes), "dedup-groups").alias("groups")
+    groups = _groups(docs, text, id_column, bucket_bytes).alias("groups")
     rows = docs.withColumn(content, normalised(text)).withColumn(sha, F.sha2(content, 256)).alias("rows")
     own = F.col(f"rows.`{id_column}`").eqNullSafe(F.col("groups.keep_id"))
     return rows.join(groups, F.col(f"rows.`{sha}`") == F.col("groups.sha")).select(
@@ -188,8 +193,20 @@ def mark_copies(
     )
 
 
-def deduplicate(docs: DataFrame, text: str = "text", id_column: str = "doc_id", **settings) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, the one with the smallest id."""
-    boxed = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(id_column).alias("id"))
-    kept = mark_copies(boxed, "text", "id", carry=["row"], **settings).where("kept")
-    return kept.dropDuplicates(["text_sha256"]).select("row.*")
+def deduplicate(
+    docs: DataFrame, text: str = "text", id_column: str = "doc_id", bucket_bytes: int = BUCKET_BYTES
+) -> DataFrame:
+    """``docs`` with one row of each group of equal texts, the one with the smallest id.
+
+    Rows move once, to their (text, id): copies have ids of their own, so a
+    group with a third of all rows is spread, and rows alike in both meet.
+    """
+    key = ["sha", "id", "no_id"]
+
+    def parts(sha: Column, id_: Column) -> list[Column]:
+        # Plain columns, so that the join's partitions serve the last step too.
+        return [sha.alias("sha"), F.coalesce(id_, F.lit(0).cast("long")).alias("id"), id_.isNull().alias("no_id")]
+
+    stay = _groups(docs, text, id_column, bucket_bytes).select(*parts(F.col("sha"), F.col("keep_id")))
+    boxed = docs.select(F.struct("*").alias("row"), *parts(F.sha2(normalised(text), 256), F.col(id_column).cast("long")))
+    return boxed.join(stay, key, "left_semi").dropDuplicates(key).select("row.*")

@@ -429,8 +429,13 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "te
     """
     classes = link_classes(docs, words, percent, text, id_column)
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key"))
-    kept = classes.groupBy("class_id").agg(first.alias("k")).select(F.col("k.id").alias("kept_id"), F.col("k.text_key").alias("kept_key"))
+    key = ["key", "id", "no_id"]
+
+    def parts(hashed: Column, id_: Column) -> list[Column]:
+        # Plain columns, so that the join's partitions serve the last step too and rows move once.
+        return [hashed.alias("key"), F.coalesce(id_.cast("string"), F.lit("")).alias("id"), id_.isNull().alias("no_id")]
+
+    kept = classes.groupBy("class_id").agg(first.alias("k")).select(*parts(F.col("k.text_key"), F.col("k.id")))
     kept = settle(kept.distinct(), "jaccard-kept")
-    boxed = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), F.xxhash64(whole_text(text)).alias("key"))
-    same = (F.col("key") == F.col("kept_key")) & F.col("id").eqNullSafe(F.col("kept_id"))
-    return boxed.join(kept, same, "left_semi").dropDuplicates(["id", "key"]).select("row.*")
+    boxed = docs.select(F.struct("*").alias("row"), *parts(F.xxhash64(whole_text(text)), F.col(id_column)))
+    return boxed.join(kept, key, "left_semi").dropDuplicates(key).select("row.*")

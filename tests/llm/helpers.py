@@ -37,3 +37,15 @@ def sql_rows(sql, columns):
     assert sorted(names) == sorted(columns)
     at = [names.index(c) for c in columns]
     return sorted((tuple(r[i] for i in at) for r in result.fetchall()), key=repr)
+
+
+def exchanges(spark, make):
+    """How many shuffles the plan of ``make()`` has if Spark broadcasts nothing."""
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        plan = make()._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning")
+    finally:
+        spark.conf.set(setting, before)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retourlens.llm import exact_dedup
-from tests.llm.helpers import documents, prose, rows
+from tests.llm.helpers import documents, exchanges, prose, rows
 
 
 def brute(items):
@@ -46,6 +46,12 @@ def test_one_row_of_each_group_stays(spark, items):
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
+def test_rows_move_once(spark, items):
+    """One shuffle of the rows, one of the ids that stay."""
+    docs = spark.createDataFrame(items, "doc_id long, text string")
+    assert exchanges(spark, lambda: exact_dedup.deduplicate(docs)) == 2
+
+
 def test_table_compares_contents_not_hashes():
     table = exact_dedup.ContentTable(slots=2)
     for n in range(50):

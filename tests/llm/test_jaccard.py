@@ -4,7 +4,7 @@ import pytest
 
 from retourlens.llm import jaccard
 from retourlens.llm.graph import connected_components
-from tests.llm.helpers import documents, prose, rows
+from tests.llm.helpers import documents, exchanges, prose, rows
 
 
 def sets_of(text, words):
@@ -103,6 +103,11 @@ def test_one_of_each_class_stays(spark, items):
     assert sorted([r["doc_id"] for r in kept.collect()], key=repr) == sorted({*want, *empty}, key=repr)
 
 
+def test_rows_move_once(spark):
+    docs = documents(spark, ["one two three four five six"] * 3)
+    assert exchanges(spark, lambda: jaccard.keep_one(docs)) == 2
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(10, 40)] + [(99, i) for i in range(100, 140)] + [(7, 7), (3, 1), (1, 3)]
     found = connected_components(spark.createDataFrame(links, "a long, b long"))

@@ -1,0 +1,73 @@
+import os
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks.queries import _order_files
+from retourlens.operators.grouping import hot_keys
+from retourlens.plans.sums import BUCKETS, group_sums, summed
+from retourlens.sources.sales import sales
+
+SMALL = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no benchmark tables")
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_line_items_move_to_their_part_and_their_order_only(spark):
+    """With tables too large to broadcast: not to their customer, and not to their order twice."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    broadcast = sorted(map(tuple, sales(spark, SMALL).collect()), key=repr)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = sales(spark, SMALL)
+        keys = re.findall(r"Exchange hashpartitioning\((\w+)#", plan(rows))
+        assert sorted(keys) == ["c_custkey", "l_orderkey", "l_partkey", "o_custkey", "o_orderkey", "p_partkey"]
+        assert sorted(map(tuple, rows.collect()), key=repr) == broadcast
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def _keyed(spark):
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 4 != 0, F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))).alias("user_id"),
+        F.when(F.col("id") % 5 != 0, F.col("id") % 9000).alias("item_id"), F.lit("xl").alias("item_size"), F.lit("red").alias("item_color"),
+        (F.col("id") % 50).cast("double").alias("item_price"), (F.col("id") % 3).alias("brand_id"),
+        (F.col("id") % 2 == 0).alias("is_unknown"), (F.col("id") % 7 % 2).cast("int").alias("returned"),
+    )
+    return rows
+
+
+@pytest.mark.parametrize("limit", [2, 1000, 1_000_000])
+def test_busy_keys_are_found_by_buckets(spark, limit):
+    rows = _keyed(spark)
+    ready = group_sums(rows, limit)
+    for key, found in (("user_id", ready.hot_users), ("item_id", ready.hot_items)):
+        expected = hot_keys(rows, key, limit)
+        assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+    assert 4500 < ready.items < 18_000
+    assert ready.brand.agg(F.sum("__rows")).first()[0] == ready.price.agg(F.sum("__rows")).first()[0] == 20_000
+
+
+def test_the_first_pass_does_not_group_by_users_or_items(spark):
+    """Its groups are bounded by buckets, brands, prices and a sample of items, whatever the tables hold."""
+    sums = summed(_keyed(spark), 0).groupBy("set").count().collect()
+    groups = {r["set"]: r["count"] for r in sums}
+    assert groups["user"] <= BUCKETS + 1 and groups["item"] <= BUCKETS + 1 and groups["sample"] < 9000 / 20
+    assert set(groups) == {"brand", "price", "user", "item", "sample"}
+
+
+def test_catalogue_sums_by_size_and_colour(spark):
+    sizes, colours = group_sums(_keyed(spark), 1000).catalogue()
+    for table, part in ((sizes, "item_size"), (colours, "item_color")):
+        assert table.columns[:2] == ["item_id", part]
+        assert table.agg(F.sum("__rows")).first()[0] == 16_000 and table.where("item_id is null").isEmpty()
+
+
+def test_order_files_are_compressed(spark):
+    for table in _order_files(spark, SMALL):
+        names = [r[0] for r in table.select(F.input_file_name()).distinct().collect()]
+        assert names and all(n.endswith(".csv.gz") for n in names)

@@ -1,7 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retourlens.sources.checked import differences, infer_schema, read_checked
+from retourlens.sources.checked import _NUMBER, differences, infer_schema, read_checked, typed
 from retourlens.sources.orders import UNLABELLED_SCHEMA
 
 HEADER = "id,day,price,name,flag,big\n"
@@ -62,3 +63,15 @@ def test_no_rows(spark, tmp_path):
     found = read_checked(spark, str(tmp_path), SCHEMA)
     assert found.rows.count() == 0 and found.rejected.count() == 0
     assert set(f.dataType for f in infer_schema(spark, str(tmp_path))) == {T.StringType()}
+
+
+def test_numbers_are_tested_before_they_are_cast(spark):
+    """The test lets through all that a cast accepts, and keeps dates and words from it."""
+    texts = ["1", "-1.5", "+.5", "5.", "1e3", "1E-3", "2d", "3.5F", " 7 ", "\t8", "NaN", "nan", "Infinity", "-inf", "+INF", "0x1p3", "-0X1.8p-1D",
+             "", " ", ".", "1e", "1996-02-30", "blue", "1,5", "0x1", "1_0", "d", "--1", "infinite"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    value = typed(F.col("t"), T.DoubleType())
+    got = rows.select(value.cast("string"), F.col("t").try_cast("double").cast("string")).collect()
+    assert [r[0] for r in got] == [r[1] for r in got] and sum(r[0] is not None for r in got) == 17
+    assert "RLIKE" in str(value).upper()
+    assert not rows.where("t in ('1996-02-30', 'blue', '1,5', '')").where(F.col("t").rlike(_NUMBER)).count()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retourlens.llm.tables import free_name, whole_text
+from retourlens.session import settle
 
 #: Labelled rows that a model is fitted on, at about this number; the rest only count.
 FIT_ROWS = 20_000
@@ -173,19 +174,37 @@ def _with_statistics(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*[rows.schema[c] for c in carry], added]))
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "quality", fit_rows: int = FIT_ROWS, **settings) -> Forest:
+def fit(
+    labelled: DataFrame, text: str = "text", label: str = "quality", fit_rows: int = FIT_ROWS, marks: DataFrame | None = None,
+    id_column: str = "doc_id", **settings,
+) -> Forest:
     """Fit on about ``fit_rows`` different labelled texts, chosen by a hash of the text.
 
-    Copies of a text, however many, are one row with the mean of their labels.
-    Rows without a label are left out; null texts count as empty. Rows are taken
-    in a fixed order, so a repeated fit gives the same model. Without rows every
-    score is 0.5.
+    Labels are a column of ``labelled``, or of ``marks``, which has one or more
+    rows for an ``id_column``; then digests of texts meet the labels, and only
+    texts chosen move. Copies of a text, however many, are one row with the mean
+    of their labels. Rows without a label are left out; null texts count as
+    empty. Rows are taken in a fixed order, so a repeated fit gives the same
+    model. Without rows every score is 0.5.
     """
-    rows = labelled.select(whole_text(text).alias("text"), F.col(label).cast("double").alias("label")).where("label is not null")
-    different = rows.agg(F.approx_count_distinct(F.xxhash64("text"))).first()[0]
-    place = F.pmod(F.xxhash64("text", F.lit(8)), F.lit(1 << 30)) / float(1 << 30)
-    # Copies are chosen together, so they collapse within their tasks, before anything moves.
-    chosen = rows.where(place * max(different, 1) < fit_rows).groupBy("text").agg(F.avg("label").alias("label"))
+    value = whole_text(text)
+    place = F.pmod(F.xxhash64(value, F.lit(8)), F.lit(1 << 30)) / float(1 << 30)
+    own = {"key": F.xxhash64(value), "digest": F.unhex(F.md5(value.cast("binary"))), "place": place}
+    narrow = [c.alias(n) for n, c in own.items()]
+    if marks is None:
+        rated = labelled.select(*narrow, F.col(label).cast("double").alias("label"))
+    else:
+        held = marks.select(F.col(id_column).alias("id"), F.col(label).cast("double").alias("label")).where("label is not null")
+        rated = labelled.select(F.col(id_column).alias("id"), *narrow).join(held, "id").drop("id")
+    rated = settle(rated.where("label is not null"), "quality-labels")
+    different = rated.agg(F.approx_count_distinct("key")).first()[0]
+    least = fit_rows / max(different, 1)
+    means = rated.where(F.col("place") < least).groupBy("digest").agg(F.avg("label").alias("label"))
+    means = settle(means, "quality-means")
+    texts = labelled.select(value.alias("text"), own["place"].alias("place")).where(F.col("place") < least)
+    texts = texts.select("text", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"))
+    # At most about fit_rows means are sent; copies collapse within their tasks, before anything moves.
+    chosen = texts.join(F.broadcast(means), "digest").groupBy("text").agg(F.first("label").alias("label"))
     got = sorted((tuple(r["statistics"]), r["label"]) for r in _with_statistics(chosen, "text", ["label"]).collect())
     matrix = np.array([s for s, _ in got]).reshape(-1, len(STATISTICS))
     return fit_trees(matrix, np.array([y for _, y in got]), **settings)

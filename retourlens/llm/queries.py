@@ -89,9 +89,9 @@ def op7_exact_dedup(spark, sf_dir):
 def op8_quality(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read(spark, sf_dir, "labels").select("doc_id", "quality")
-    learn = docs.join(labels, "doc_id").where(langid.id_hash("doc_id") % 3 != 1)
+    learn = docs.where(langid.id_hash("doc_id") % 3 != 1)
     held_out = (langid.id_hash("doc_id") % 3 == 1).alias("held_out")
-    scored = quality.score(docs, quality.fit(learn), carry=["doc_id"])
+    scored = quality.score(docs, quality.fit(learn, marks=labels), carry=["doc_id"])
     return scored.select("doc_id", held_out, "score", "predicted")
 
 

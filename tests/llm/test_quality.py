@@ -65,3 +65,20 @@ def test_copies_do_not_fill_the_sample(spark, monkeypatch):
     same = documents(spark, ["one text"] * 40 + [None, ""]).withColumn("quality", (F.col("doc_id") % 4 == 0).cast("int"))
     quality.fit(same, fit_rows=60)
     assert seen[1] == (2, [0.25, 0.5])
+
+
+def test_labels_of_a_table_of_their_own(spark, monkeypatch):
+    """The same rows are fitted on as if labels had been joined to the texts; no shuffle carries texts to their labels."""
+    seen, stored = [], []
+    monkeypatch.setattr(quality, "fit_trees", lambda rows, labels, **_: seen.append((rows.tolist(), labels.tolist())))
+    own = quality.settle
+    monkeypatch.setattr(quality, "settle", lambda df, name: stored.append(df.columns) or own(df, name))
+    texts = [prose(i % 90, 20, 5000) for i in range(200)] + [None, "", ""]
+    docs = documents(spark, texts).union(documents(spark, texts).where("doc_id < 9"))
+    marks = [(i, i % 2 if i % 7 else None) for i in range(0, 203, 2)] + [(4, 1), (4, 0), (10**6, 1), (None, 1)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    for rows_ in (1000, 30):
+        quality.fit(docs.join(labels, "doc_id"), fit_rows=rows_)
+        quality.fit(docs.repartition(5), fit_rows=rows_, marks=labels)
+    assert seen[0] == seen[1] and seen[2] == seen[3] and len(seen[2][0]) < len(seen[0][0])
+    assert stored and not any("text" in columns for columns in stored)

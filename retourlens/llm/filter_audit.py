@@ -225,7 +225,8 @@ def with_prefixes(texts: DataFrame, prefix_bytes: int) -> DataFrame:
         heavy = settle(sized.where(F.col("held") > prefix_bytes).select("heavy", "one"), "audit-prefixes")
         if heavy.isEmpty():
             return found
-        left = left.join(heavy.where("not one"), here == F.col("heavy"), "left_semi")
+        # Prefixes measured last lie within heavy ones of all rounds before, so these need not be joined again.
+        left = texts.join(heavy.where("not one"), here == F.col("heavy"), "left_semi")
         longer = F.substring("head" if LONGER * length <= HEAD else "text", 1, LONGER * length)
         found = found.join(heavy, (F.col("prefix") == F.col("heavy")) & ~F.col("hot"), "left").withColumns({
             "prefix": F.when(F.col("one"), F.col("prefix")).when(F.col("heavy").isNotNull(), longer).otherwise(F.col("prefix")),

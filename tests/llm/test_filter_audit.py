@@ -97,6 +97,18 @@ def test_long_prefixes_stay_split(spark):
     assert all(found[i]["hot"] and found[i]["prefix"] == texts[i] for i in range(51, 91)) and not any(found[i]["hot"] for i in range(51))
 
 
+def test_a_round_joins_heavy_prefixes_once(spark, monkeypatch):
+    """Each round looks for the heavy prefixes of the last one only, not again for those of all before."""
+    plans, own = [], filter_audit.settle
+    monkeypatch.setattr(filter_audit, "settle", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or own(df, name))
+    docs = documents(spark, [("z" * 600) + str(i) for i in range(50)] + ["z" * n for n in (4, 16, 64, 300)] * 3 + ["zebra"])
+    rows_ = docs.selectExpr("doc_id as record", "text", "substring(text, 1, 64) as head", "octet_length(text) as bytes", "length(text) as chars")
+    found = filter_audit.with_prefixes(rows_, 400).collect()
+    assert [p.count("LeftSemi") for p in plans] == [0] + [1] * (len(plans) - 1) and len(plans) > 5
+    assert len(found) == 63 and all(r["text"].startswith(r["prefix"]) for r in found)
+    assert {len(r["text"]) for r in found if r["hot"]} == {300, 601, 602} and all(r["prefix"] == r["text"] for r in found if r["hot"])
+
+
 def test_trie():
     r = random.Random(8)
     keys = [bytes(r.choices(b"ab", k=r.randrange(0, 40))) for _ in range(800)] + [b"ab" * 5_000, b"ab" * 5_000 + b"c", b""]

@@ -157,6 +157,34 @@ def _table_pairs(shared: DataFrame, cells: DataFrame) -> DataFrame:
     return settle(met.select(F.col("one.cell").alias("a"), F.col("two.cell").alias("b")).distinct(), "near-pairs")
 
 
+def _ask(rows: DataFrame, asks: bool, asked: bool) -> DataFrame:
+    """(meeting, asks, asked, rid) of ``rows`` (meeting, rid)."""
+    return rows.select("meeting", F.lit(asks).alias("asks"), F.lit(asked).alias("asked"), "rid")
+
+
+def _meetings(pairs: DataFrame, cells: DataFrame) -> DataFrame:
+    """(meeting, asks, asked, rid) of all pairs of cells that are to meet.
+
+    Of two cells the larger is the host. A host meets as many of its guests at
+    once as a cell may hold, so its sets travel once for so many, not for each.
+    """
+    sizes = settle(cells.groupBy("cell").agg(F.sum("n").alias("held")), "near-sizes")
+    one, two = (sizes.select(F.col("cell").alias(c), F.struct("held", "cell").alias(f"own_{c}")) for c in ("a", "b"))
+    sized = pairs.where("a <> b").join(one.hint("merge"), "a").join(two.hint("merge"), "b")
+    large, small = F.greatest("own_a", "own_b"), F.least("own_a", "own_b")
+    sized = settle(sized.select(large["cell"].alias("host"), small["cell"].alias("guest"), small["held"].alias("n")), "near-guests")
+    groups = sized.groupBy("host").agg(F.ceil(F.sum("n") / CELL_SHINGLES).alias("groups"))
+    group = F.pmod(F.xxhash64("guest"), F.col("groups"))
+    met = sized.join(groups, "host").select("host", "guest", F.xxhash64("host", group).alias("meeting"))
+    members = lambda side: cells.select("rid", F.col("cell").alias(side))
+    hosts = met.select("meeting", "host").distinct()
+    alone = pairs.where("a = b").select(F.col("a").alias("alone"), F.xxhash64("a").alias("meeting"))
+    return (
+        _ask(met.join(members("guest"), "guest"), True, False).union(_ask(hosts.join(members("host"), "host"), False, True))
+        .union(_ask(alone.join(members("alone"), "alone"), True, True))
+    )
+
+
 def _links(placed: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b): links between the sets of a meeting that ask and those that are asked, by their whole sets.
 
@@ -267,20 +295,13 @@ def near_classes(
 
     guests = _pieces(homes.where("rid <> home"), "home").select(F.xxhash64("home", "piece").alias("meeting"), "home", "rid")
     hosts = guests.select("meeting", F.col("home").alias("rid")).distinct()
-    ask = lambda rows, asks, asked: rows.select("meeting", F.lit(asks).alias("asks"), F.lit(asked).alias("asked"), "rid")
-    near = settle(_links(ask(guests, True, False).union(ask(hosts, False, True)), texts, words, percent), "near-stars")
+    near = settle(_links(_ask(guests, True, False).union(_ask(hosts, False, True)), texts, words, percent), "near-stars")
 
     classes = settle(connected_components(near, "near-star"), "near-classes").withColumnRenamed("node", "rid")
     pooled = homes.join(classes, "rid", "left").select("rid", "n", "home", F.coalesce("root", "rid").alias("class"), F.coalesce("root", F.lit(-1)).alias("pool"))
-    cells = _pieces(pooled, "home", "pool").select("rid", "class", F.struct("home", "pool", "piece").alias("cell"))
+    cells = _pieces(pooled, "home", "pool").select("rid", "n", "class", F.struct("home", "pool", "piece").alias("cell"))
     cells = settle(cells, "near-cells")
-    pairs = _table_pairs(shared, cells).withColumn("meeting", F.xxhash64("a", "b"))
-    apart, alone = pairs.where("a <> b"), pairs.where("a = b")
-    members = lambda side: cells.select("rid", F.col("cell").alias(side))
-    meetings = (
-        ask(apart.join(members("a"), "a"), True, False).union(ask(apart.join(members("b"), "b"), False, True))
-        .union(ask(alone.join(members("a"), "a"), True, True))
-    )
+    meetings = _meetings(_table_pairs(shared, cells), cells)
     links = settle(near.union(_links(meetings, texts, words, percent)), "near-links")
 
     roots = settle(connected_components(links, "near"), "near-roots").withColumnRenamed("node", "rid")

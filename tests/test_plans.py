@@ -113,6 +113,21 @@ def test_fits_read_only_their_folds(spark):
     assert unknown.columns == ["order_item_id", "item_price", "features"] and unknown.count() > 0
 
 
+def test_files_of_training_rows_are_bounded(spark, monkeypatch):
+    """However many rows a writer has, a stored file has few, so no fit reads more than some files' rows in a task."""
+    monkeypatch.setattr(training, "FILE_ROWS", 40)
+    known = F.col("id") % 4 != 0
+    values = [(F.col("id") % (3 + i)).cast("double").alias(c) for i, c in enumerate(training.FEATURES) if c != "item_price"]
+    table = spark.range(0, 900, 1, 1).select(
+        F.col("id").alias("order_item_id"), F.lit(20.0).alias("item_price"), (~known).alias("is_unknown"),
+        F.when(known, (F.col("id") % 2).cast("int")).otherwise(0).alias("returned"), *values,
+    )
+    train, unknown = training.training_tables(table, 2)
+    files = train.groupBy(F.input_file_name()).count().collect()
+    assert train.count() == 675 and unknown.count() == 225
+    assert len(files) >= 675 // 40 and max(r["count"] for r in files) <= 40
+
+
 @needs_data
 def test_two_scans_of_the_input(spark):
     """One for everything that is fitted beforehand, one for the features."""

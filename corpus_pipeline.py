@@ -40,9 +40,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids, source and language with the packed token ids and what they decode to; whole texts,
-    however long, a null text as an empty one."""
+    however long, a null text as an empty one. Ids are stored before they are decoded, so that no
+    task holds a worker of each kind."""
     path = byte_bpe_50k()
-    ids = bpe.encode(docs, path, carry=["doc_id", "lang", "source"])
+    ids = settle(bpe.encode(docs, path, carry=["doc_id", "lang", "source"]), "pipeline-ids")
     return bpe.decode(ids, path).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
 
 

@@ -312,13 +312,13 @@ def encode(
             yield pd.DataFrame({"key": [current], "packed": [b"".join(out + _tree(encoder, parts)[1])]})
 
     texts = keyed.select(F.col(key).alias("key"), F.col(value).alias("value")).dropDuplicates(["key"])
-    pieces = texts.mapInPandas(cut, "key string, stretch long, piece long, part string")
+    pieces = texts.mapInPandas(giving_back(cut), "key string, stretch long, piece long, part string")
     spread = pieces.repartition(F.col("key"), F.col("stretch"), F.col("piece"))
     encoded = spread.mapInPandas(
-        leaves, "key string, stretch long, piece long, part string, chars binary, counts binary, packed binary"
+        giving_back(leaves), "key string, stretch long, piece long, part string, chars binary, counts binary, packed binary"
     )
     met = encoded.repartition("key").sortWithinPartitions("key", "stretch", "piece")
-    joined = met.mapInPandas(whole, "key string, packed binary")
+    joined = met.mapInPandas(giving_back(whole), "key string, packed binary")
     joined = joined.select(F.col("key").alias(key), F.col("packed").alias(output))
     return short.unionByName(keyed.join(joined, key).select(*carry, output))
 

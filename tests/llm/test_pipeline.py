@@ -121,3 +121,9 @@ def test_stages_with_clashing_columns_nulls_and_ties(spark):
     assert left[0] == [0, 0, 1, 2, 3, 6] and left[1] == left[2] == [0, 3, 6]
     encoded = corpus_pipeline.encode(spark, docs, SMALL)
     assert {r["doc_id"] for r in encoded.collect()} <= {0, 3, 6}
+
+
+def test_encoding_and_decoding_do_not_share_tasks(spark, stages):
+    """Workers of both in one task would hold an executor's memory twice."""
+    text = corpus_pipeline.encode(spark, stages[4], SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("MapInArrow") == 1 and "MapInPandas" not in text

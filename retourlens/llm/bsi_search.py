@@ -30,6 +30,8 @@ LOW_SLICES = 2
 WIDE, WIDE_SHARE = 1 << 24, 4
 #: Components of this size or more are no 64-bit numbers; such vectors take no part.
 TOO_LARGE = 1 << 63
+#: Query bytes that every task may hold; with more, cells of a grid hold about ``CELL_BYTES`` of the index and of queries.
+BROADCAST_BYTES, CELL_BYTES = 16 << 20, 8 << 20
 INDEX = "block string, rows int, dims int, bits int, ids binary, lows binary, slices binary"
 
 
@@ -209,8 +211,8 @@ def search(
     fails the search. Repeated rows are each a candidate, repeated queries are answered once;
     other columns are ignored.
 
-    Blocks of the index meet blocks of queries on a grid, each pair in a task of
-    its own choosing; a pair returns k rows a query.
+    Blocks of the index meet blocks of queries where they lie if the queries are
+    few, else on a grid; a pair returns k rows a query.
     """
     index = settle(build_index(_numbers(vectors, id_column, vector, scale), "id", "v", block_rows), "bsi-index")
     asked = _numbers(queries, id_column, vector, scale).withColumn("h", F.xxhash64("v")).dropDuplicates(["id", "h"])
@@ -225,13 +227,7 @@ def search(
 
     schema = "q_block string, q_ids array<bigint>, q_hashes array<bigint>, q_values array<binary>"
     blocks = settle(asked.mapInPandas(gather, schema), "bsi-queries")
-    # A grid with a row for each index block and a column for each query block, on average.
-    height, width = max(1, index.count()), max(1, blocks.count())
-    left = index.withColumn("i", F.pmod(F.xxhash64("block"), F.lit(height)))
-    left = left.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
-    right = blocks.withColumn("j", F.pmod(F.xxhash64("q_block"), F.lit(width)).cast("int"))
-    right = right.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(height - 1).cast("long"))))
-    pairs = left.join(right, ["i", "j"]).select("dims", "bits", "ids", "lows", "slices", "q_ids", "q_hashes", "q_values")
+    pairs = _paired(index, blocks).select("dims", "bits", "ids", "lows", "slices", "q_ids", "q_hashes", "q_values")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,6 +240,24 @@ def search(
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
+def _paired(index: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Every index block beside every query block.
+
+    Few queries go to all tasks, once each. More of them and the index are dealt to the columns
+    and rows of a grid, so each travels once a row or column; never is a copy broadcast.
+    """
+    asked = blocks.agg(F.sum(F.aggregate("q_values", F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x) + 16))).first()[0] or 0
+    if asked <= BROADCAST_BYTES:
+        return index.crossJoin(F.broadcast(blocks))
+    held = index.agg(F.sum(F.octet_length("slices").cast("long"))).first()[0] or 0
+    height, width = -(-held // CELL_BYTES) or 1, -(-asked // CELL_BYTES)
+    left = index.withColumn("i", F.pmod(F.xxhash64("block"), F.lit(height)))
+    left = left.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long"))))
+    right = blocks.withColumn("j", F.pmod(F.xxhash64("q_block"), F.lit(width)))
+    right = right.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(height - 1).cast("long"))))
+    return left.hint("merge").join(right, ["i", "j"])
+
+
 def _numbers(df: DataFrame, id_column: str, vector: str, scale: float) -> DataFrame:
     rows = df.select(F.col(id_column).cast("long").alias("id"), quantised(F.col(vector), scale).alias("v"))
     return rows.where("id is not null and v is not null")

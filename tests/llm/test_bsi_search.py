@@ -86,3 +86,29 @@ def test_empty_tables(spark):
     assert rows(bsi_search.search(empty, empty)) == []
     assert rows(bsi_search.search(some, some)) == []
     assert rows(bsi_search.search(some, empty)) == []
+
+
+def many_blocks(spark):
+    rng = np.random.default_rng(9)
+    data = [(i, [float(x) for x in rng.integers(-64, 64, 6) / 256], "x") for i in range(400)]
+    numbers = [(i, [int(np.floor(256 * x)) for x in v]) for i, v, _ in data]
+    return spark.createDataFrame(data, SCHEMA), brute(numbers, [n for n in numbers if n[0] % 10 == 0], 5)
+
+
+def test_queries_are_broadcast_once_not_once_a_block(spark):
+    """The driver collects what is broadcast, which must not grow with the index."""
+    table, best = many_blocks(spark)
+    found = bsi_search.search(table, table.where("vec_id % 10 = 0"), block_rows=16, block_queries=4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan and "Generate" not in plan
+    assert rows(found) == best
+
+
+@pytest.mark.parametrize("cell", [200, 1 << 20])
+def test_more_queries_meet_the_index_on_a_grid(spark, monkeypatch, cell):
+    monkeypatch.setattr(bsi_search, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(bsi_search, "CELL_BYTES", cell)
+    table, best = many_blocks(spark)
+    found = bsi_search.search(table, table.where("vec_id % 10 = 0"), block_rows=16, block_queries=4)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == best

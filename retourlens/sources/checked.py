@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 _CORRUPT, _FILE = "__corrupt", "__file"
 #: Types by rising width; a column gets the first one that all its values fit.
 INFERRED = [T.IntegerType(), T.LongType(), T.DoubleType(), T.DateType(), T.BooleanType(), T.StringType()]
+#: Rows that are tested for all types before all rows are tested for the types that are left.
+HEAD_ROWS = 1000
 #: Pairs of an inferred type and a wider one that may be declared for it.
 _WIDER = {("int", "bigint"), ("int", "double"), ("bigint", "double")}
 # What Java reads as a number, and no less: a failed cast raises inside, which takes far longer than this test.
@@ -47,7 +49,7 @@ def _texts(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
 
 
 def infer_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Narrowest types of a csv with a header, from all its rows in one scan.
+    """Narrowest types of a csv with a header, from all its rows in one scan after a look at the first.
 
     A column without a value is a string, one with a gap or with an empty text
     nullable. Unlike a reader's own inference it never decides by a sample, and
@@ -56,17 +58,35 @@ def infer_schema(spark: SparkSession, path: str) -> T.StructType:
     """
     names = spark.read.option("header", True).csv(path).columns
     rows = _texts(spark, path, names).where(F.col(_CORRUPT).isNull())
+    # A type that one value does not fit is out; the first rows spare the others most of the tests.
+    first = _fits(rows.limit(HEAD_ROWS), dict.fromkeys(names, INFERRED[:-1]))
+    left = {n: [kind for kind, fit in zip(INFERRED, fits) if fit] for n, (_, _, fits) in first.items()}
+    fields = []
+    for name, (values, gaps, fits) in _fits(rows, left).items():
+        kind = next((k for k, fit in zip(left[name], fits) if fit and values), INFERRED[-1])
+        fields.append(T.StructField(name, kind, nullable=bool(gaps or not values)))
+    return T.StructType(fields)
+
+
+def _fits(rows: DataFrame, kinds: dict[str, list[T.DataType]]) -> dict[str, tuple[int, int, list[bool]]]:
+    """Of each column how many values and gaps it has, and whether all values fit each of its ``kinds``."""
     checks = []
-    for name in names:
+    for name, tried in kinds.items():
         text = F.col(f"`{name}`")
         checks += [F.count(text), F.count_if(text.isNull())]
-        checks += [F.bool_and(typed(text, kind).isNotNull() | text.isNull()) for kind in INFERRED[:-1]]
-    found, width, fields = list(rows.agg(*checks).first()), 1 + len(INFERRED), []
-    for i, name in enumerate(names):
-        values, gaps, *fits = found[i * width : (i + 1) * width]
-        kind = next((k for k, fit in zip(INFERRED, fits) if fit and values), INFERRED[-1])
-        fields.append(T.StructField(name, kind, nullable=bool(gaps or not values)))
-    return T.StructType(fields)
+        fine = text.isNull()
+        for kind in tried:
+            fits = typed(text, kind).isNotNull()
+            # What fits a whole number fits the wider ones, which are tested only where it does not.
+            whole = isinstance(kind, (T.IntegerType, T.LongType, T.DoubleType))
+            checks.append(F.bool_and(fine | fits if whole else text.isNull() | fits))
+            fine = fine | fits if whole else fine
+    found, at, out = list(rows.agg(*checks).first()), 0, {}
+    for name, tried in kinds.items():
+        end = at + 2 + len(tried)
+        out[name] = (found[at], found[at + 1], found[at + 2 : end])
+        at = end
+    return out
 
 
 def differences(inferred: T.StructType, declared: T.StructType) -> list[str]:

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retourlens.sources import checked
 from retourlens.sources.checked import _NUMBER, differences, infer_schema, read_checked, typed
 from retourlens.sources.orders import UNLABELLED_SCHEMA
 
@@ -75,3 +76,18 @@ def test_numbers_are_tested_before_they_are_cast(spark):
     assert [r[0] for r in got] == [r[1] for r in got] and sum(r[0] is not None for r in got) == 17
     assert "RLIKE" in str(value).upper()
     assert not rows.where("t in ('1996-02-30', 'blue', '1,5', '')").where(F.col("t").rlike(_NUMBER)).count()
+
+
+def test_later_values_widen_what_the_first_rows_leave(spark, tmp_path, monkeypatch):
+    """First rows only spare tests; every value of every row still decides."""
+    passes = []
+    fits = checked._fits
+    monkeypatch.setattr(checked, "HEAD_ROWS", 1)
+    monkeypatch.setattr(checked, "_fits", lambda rows, kinds: passes.append(kinds) or fits(rows, kinds))
+    lines = ["1,1,1,1,,2020-01-01,a,true,7", "2,5000000000,2.5,x,3,2020-01-02,,false,5000000000", "3,2,1e3,4,4,x,b,maybe,1.5", ",,,,,,,,"]
+    (tmp_path / "one.csv").write_text("i,l,d,s,late,day,name,flag,wide\n" + "\n".join(lines) + "\n")
+    found = infer_schema(spark, str(tmp_path))
+    assert found.simpleString() == "struct<i:int,l:bigint,d:double,s:string,late:int,day:string,name:string,flag:string,wide:double>"
+    assert all(f.nullable for f in found)
+    names = {n: [k.simpleString() for k in kinds] for n, kinds in passes[1].items()}
+    assert len(passes) == 2 and names["name"] == [] and names["day"] == ["date"] and names["flag"] == ["boolean"]
